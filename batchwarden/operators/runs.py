@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from batchwarden.operators.batching import BATCH, PERIOD
 from batchwarden.sources.tables import RUNS, TableStore
@@ -15,11 +15,24 @@ _DRIFT = (
     "category_shift:map<string,double>,freshness_days:double,alerts:array<string>>"
 )
 
-RUN_SCHEMA = T.StructType.fromDDL(
-    "run_id string, ts timestamp, batch_label string, period_start timestamp, n_rows bigint, "
-    "dq_pass_rate double, n_error_checks bigint, freshness_days double, n_quarantined bigint, "
-    f"halted boolean, col_stats {_STATS}, drift {_DRIFT}, mae double, rmse double, r2 double"
-)
+RUN_COLUMNS = {
+    "run_id": "string",
+    "ts": "timestamp",
+    "batch_label": "string",
+    "period_start": "timestamp",
+    "n_rows": "bigint",
+    "dq_pass_rate": "double",
+    "n_error_checks": "bigint",
+    "freshness_days": "double",
+    "n_quarantined": "bigint",
+    "halted": "boolean",
+    "col_stats": _STATS,
+    "drift": _DRIFT,
+    "mae": "double",
+    "rmse": "double",
+    "r2": "double",
+}
+RUN_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in RUN_COLUMNS.items())
 
 
 def run_records(
@@ -58,7 +71,7 @@ def stamp_runs(records: DataFrame, started: datetime | None = None) -> DataFrame
     text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     stamped = records.withColumn("ts", ts)
     stamped = stamped.withColumn("run_id", F.concat_ws("-", "batch_label", text))
-    return stamped.select(*RUN_SCHEMA.fieldNames())
+    return stamped.select(*RUN_COLUMNS)
 
 
 def save_runs(store: TableStore, runs: DataFrame, table: str = RUNS, mode: str = "append") -> int:

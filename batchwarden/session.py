@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Batch labels such as "2021" are texts, also as partition values.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
