@@ -274,11 +274,11 @@ class BatchReport:
                 F.col("n_rows"),
                 detail.alias("detail"),
             )
-            for position, (name, passed, severity, count, detail) in enumerate(self._entries())
+            for position, (name, passed, severity, count, detail) in enumerate(self.entries())
         ]
         return self.summary.df.select(BATCH, PERIOD, F.inline(F.array(*entries)))
 
-    def _entries(self) -> list[tuple[str, Column, Column, Column, Column]]:
+    def entries(self) -> list[tuple[str, Column, Column, Column, Column]]:
         """Name, passed, severity, violations and detail of each check of a summary row."""
         profile, rules = self.profile, self.rules
         n = {c: F.col(c) for c in self.summary.df.columns}

@@ -60,61 +60,62 @@ def psi_by_batch(
 
     # Inner edges: those equal to the lowest edge bound no bin, those equal to the highest are
     # never reached.
-    sides = {}
-    cuts = edges.df.select(
+    both_sides = edges.df.select(
         BATCH,
         *[F.col(f"edges_{c}").alias(f"own_{c}") for c in columns],
         *[F.lag(f"edges_{c}").over(_in_order()).alias(f"past_{c}") for c in columns],
     )
-    for c in columns:
-        for side in ("own", "past"):
-            edge = F.col(f"{side}_{c}")
-            for i in range(1, bins):
-                cut = F.when(edge[i] <= edge[0], F.lit(float("-inf"))).when(
-                    edge[i] < edge[bins], edge[i]
-                )
-                sides[f"{side}_{c}_{i}"] = cut
-    cuts = cuts.select(BATCH, *[cut.alias(name) for name, cut in sides.items()])
+    places = [(s, c, i) for c in columns for s in ("own", "past") for i in range(1, bins)]
+    cuts = both_sides.selectExpr(
+        BATCH,
+        *[
+            f"CASE WHEN `{s}_{c}`[{i}] <= `{s}_{c}`[0] THEN double('-Infinity') "
+            f"WHEN `{s}_{c}`[{i}] < `{s}_{c}`[{bins}] THEN `{s}_{c}`[{i}] END AS `{s}_{c}_{i}`"
+            for s, c, i in places
+        ],
+    )
     cuts = F.broadcast(cuts) if edges.fits else cuts
 
-    reached = [
-        F.count_if(numbers[c] >= F.col(f"{side}_{c}_{i}")).alias(f"{side}_{c}_{i}")
-        for c in columns
-        for side in ("own", "past")
-        for i in range(1, bins)
-    ]
-    totals = [F.count(numbers[c]).alias(f"n_{c}") for c in columns]
-    counts = clean.join(cuts, BATCH).groupBy(BATCH).agg(*totals, *reached)
-    table = edges.df.join(counts, BATCH, "left")
-
-    for c in columns:
-        n_now = F.coalesce(F.col(f"n_{c}"), F.lit(0))
-        steps = F.array(*[F.col(f"own_{c}_{i}") for i in range(1, bins)])
-        before = F.struct(n_now.alias("n"), steps.alias("steps"), F.col(f"edges_{c}").alias("e"))
-        table = table.withColumn(f"before_{c}", F.lag(before).over(_in_order()))
-    values = [_psi(c, bins).alias(f"psi_{c}") for c in columns]
-    return table.select(BATCH, PERIOD, *values)
-
-
-def _psi(column: str, bins: int) -> Column:
-    """The index of one column from the cumulative counts of both sides."""
-    before = F.col(f"before_{column}")
-    n_expected = before["n"]
-    n_actual = F.coalesce(F.col(f"n_{column}"), F.lit(0))
-
-    def shares(total: Column, reached: list[Column]) -> list[Column]:
-        steps = [total, *reached, F.lit(0)]
-        return [(steps[i] - steps[i + 1]) / total + SHARE_FLOOR for i in range(bins)]
-
-    expected = shares(n_expected, [before["steps"][i - 1] for i in range(1, bins)])
-    actual = shares(n_actual, [F.col(f"past_{column}_{i}") for i in range(1, bins)])
-    terms = [(a - e) * F.ln(a / e) for e, a in zip(expected, actual)]
-    total = terms[0]
-    for term in terms[1:]:
-        total = total + term
-    edges = before["e"]
-    nothing = (n_expected == 0) | (n_actual == 0) | (edges[0] == edges[bins])
-    return F.when(before.isNull(), F.lit(None)).when(nothing, F.lit(0.0)).otherwise(total)
+    values = clean.select(BATCH, *[numbers[c].alias(f"v_{c}") for c in columns])
+    totals = [F.expr(f"count(`v_{c}`)").alias(f"n_{c}") for c in columns]
+    reached = [F.expr(f"count_if(`v_{c}` >= `{s}_{c}_{i}`)").alias(f"{s}_{c}_{i}") for s, c, i in places]
+    counts = values.join(cuts, BATCH).groupBy(BATCH).agg(*totals, *reached)
+
+    # From here on one row per batch: both sides' counts as arrays, the previous batch's by lag.
+    def steps(side: str, column: str) -> str:
+        return ", ".join(f"`{side}_{column}_{i}`" for i in range(1, bins))
+
+    table = edges.df.join(counts, BATCH, "left").selectExpr(
+        BATCH,
+        PERIOD,
+        *[f"coalesce(`n_{c}`, 0) AS `n_{c}`" for c in columns],
+        *[f"array({steps('past', c)}) AS `actual_{c}`" for c in columns],
+        *[
+            f"lag(struct(coalesce(`n_{c}`, 0) AS n, array({steps('own', c)}) AS steps, "
+            f"`edges_{c}`[0] AS low, `edges_{c}`[{bins}] AS high)) "
+            f"OVER (PARTITION BY 0 ORDER BY {PERIOD}) AS `before_{c}`"
+            for c in columns
+        ],
+    )
+    return table.selectExpr(BATCH, PERIOD, *[f"{_psi(c)} AS `psi_{c}`" for c in columns])
+
+
+def _psi(column: str) -> str:
+    """SQL text: the index of one column from the cumulative counts of both sides."""
+
+    def shares(total: str, steps: str) -> str:
+        upper, lower = f"concat(array({total}), {steps})", f"concat({steps}, array(0L))"
+        return f"zip_with({upper}, {lower}, (x, y) -> (x - y) / {total} + {SHARE_FLOOR!r}D)"
+
+    before, n = f"`before_{column}`", f"`n_{column}`"
+    actual = shares(n, f"`actual_{column}`")
+    expected = shares(f"{before}.n", f"{before}.steps")
+    terms = f"zip_with({actual}, {expected}, (a, e) -> (a - e) * ln(a / e))"
+    return (
+        f"CASE WHEN {before} IS NULL THEN NULL "
+        f"WHEN {before}.n = 0 OR {n} = 0 OR {before}.low = {before}.high THEN 0D "
+        f"ELSE aggregate({terms}, 0D, (s, t) -> s + t) END"
+    )
 
 
 def batch_statistics(clean: DataFrame, passing: Staged, profile: TableProfile) -> DataFrame:

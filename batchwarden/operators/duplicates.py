@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from batchwarden.operators.batching import BATCH, source_columns
 from batchwarden.operators.membership import mark_members
-from batchwarden.sources.staging import Staged, stage
+from batchwarden.sources.staging import Staged, stage, together
 
 FINGERPRINT = "_fingerprint"
 REPEATED_KEY = "_repeated_key"
@@ -72,8 +72,13 @@ def find_duplicates(batched: DataFrame, key: str | None) -> Duplicates:
     """Count and stage the repeated keys and the fully repeated rows of every batch."""
     columns = source_columns(batched)
     key = key if key in columns else None
-    keys = stage(repeated_keys(batched, key), "repeated-keys") if key else None
-    return Duplicates(key, columns, keys, copied_rows(batched, columns))
+    if key is None:
+        return Duplicates(None, columns, None, copied_rows(batched, columns))
+    keys, rows = together(
+        lambda: stage(repeated_keys(batched, key), "repeated-keys"),
+        lambda: copied_rows(batched, columns),
+    )
+    return Duplicates(key, columns, keys, rows)
 
 
 def mark_duplicates(batched: DataFrame, found: Duplicates) -> DataFrame:

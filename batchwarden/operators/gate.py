@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from batchwarden.operators.batching import BATCH, PERIOD
 from batchwarden.operators.checks import BATCH_FATAL, FLAGS, IS_ERROR, BatchReport
 from batchwarden.profile import ERROR
-from batchwarden.sources.staging import Staged, stage
+from batchwarden.sources.staging import Staged
 
 DISPOSITION = "_disposition"
 CLEAN = "clean"
@@ -20,14 +22,20 @@ def gate_verdicts(report: BatchReport) -> DataFrame:
     A batch halts when a batch-fatal check failed, or when more than the allowed share of its rows
     was named by failed ERROR checks.
     """
-    failed = ~F.col("passed") & (F.col("severity") == ERROR)
-    checks = report.results.groupBy(BATCH).agg(
-        F.avg(F.col("passed").cast("int")).alias("dq_pass_rate"),
-        F.count_if(failed).alias("n_error_checks"),
-        F.bool_or(failed & F.col("name").isin(*BATCH_FATAL)).alias("fatal"),
-    )
+    entries = report.entries()
+    whole = [F.when(passed, 1).otherwise(0) for _, passed, _, _, _ in entries]
+    failed = {name: ~passed & (severity == ERROR) for name, passed, severity, _, _ in entries}
+    errors = [F.when(f, 1).otherwise(0) for f in failed.values()]
     ceiling = report.profile.max_error_fraction
-    counts = report.summary.df.select(BATCH, PERIOD, "n_rows", "n_error_rows")
+    table = report.summary.df.select(
+        BATCH,
+        PERIOD,
+        "n_rows",
+        "n_error_rows",
+        (reduce(Column.__add__, whole) / len(entries)).alias("dq_pass_rate"),
+        reduce(Column.__add__, errors).cast("bigint").alias("n_error_checks"),
+        reduce(Column.__or__, [failed[name] for name in BATCH_FATAL]).alias("fatal"),
+    )
     share = F.col("n_error_rows") / F.greatest(F.col("n_rows"), F.lit(1))
     over = F.format_string("ERROR-row fraction %.1f%%", F.col("error_fraction") * 100)
     reason = (
@@ -36,7 +44,7 @@ def gate_verdicts(report: BatchReport) -> DataFrame:
     )
     kept_out = F.when(F.col("halted"), F.lit(0)).otherwise(F.col("n_error_rows"))
     return (
-        counts.join(checks, BATCH)
+        table
         .withColumn("error_fraction", share)
         .withColumn("halted", F.col("fatal") | (F.col("error_fraction") > ceiling))
         .withColumn("reason", reason)
@@ -45,8 +53,13 @@ def gate_verdicts(report: BatchReport) -> DataFrame:
 
 
 def staged_verdicts(report: BatchReport) -> Staged:
-    """The verdicts as a staged table."""
-    return stage(gate_verdicts(report), "verdicts")
+    """The verdicts with their known size: a projection of the staged summary."""
+    return Staged(gate_verdicts(report), report.summary.rows)
+
+
+def passing_batches(verdicts: Staged) -> Staged:
+    """The verdicts of the batches that were not halted."""
+    return Staged(verdicts.df.filter(~F.col("halted")), verdicts.rows)
 
 
 def dispose(flagged: DataFrame, verdicts: Staged) -> DataFrame:

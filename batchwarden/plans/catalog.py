@@ -107,7 +107,7 @@ def _passed(df: DataFrame, profile: TableProfile) -> tuple[DataFrame, Staged, St
     report = _report(df, profile)
     verdicts = gate.staged_verdicts(report)
     clean, _ = gate.split_clean_quarantine(report.flagged, verdicts)
-    passing = stage(verdicts.df.filter(~F.col("halted")), "passing")
+    passing = gate.passing_batches(verdicts)
     largest = passing.df.agg(F.max("n_rows")).first()[0] or 0
     return stage(clean, "clean").df, verdicts, passing, largest
 
