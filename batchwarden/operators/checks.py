@@ -196,14 +196,7 @@ class BatchReport:
     def judged(self) -> DataFrame:
         """Every row with one column per check outcome."""
         rules = self.rules
-        rows = self.kept
-        if self.duplicates.keys or self.duplicates.rows.rows:
-            over = [c for c in rows.columns if c.startswith("over_")]
-            source = rows.select(*self.batched.columns, *over, "nulls_error")
-            rows = dup.mark_duplicates(source, self.duplicates)
-        else:
-            rows = rows.withColumn(dup.REPEATED_KEY, F.lit(False))
-            rows = rows.withColumn(dup.COPIED_ROW, F.lit(False))
+        rows = dup.mark_duplicates(self.kept, self.duplicates)
         nulls = [F.col(f"over_{c}") & rules.null(c) for c in rules.null_columns]
         return rows.withColumns(
             {
@@ -255,10 +248,11 @@ class BatchReport:
         ]
         counts += [F.count_if(rules.out_of_range(c)).alias(f"out_{c}") for c in rules.range_columns]
         table = self.facts.side().join(self.judged.groupBy(BATCH).agg(*counts), BATCH, "left")
-        if self.duplicates.rows.rows:
-            table = table.join(self.duplicates.copies_per_batch(), BATCH, "left")
-        else:
+        copies = self.duplicates.copies_per_batch()
+        if copies is None:
             table = table.withColumn("n_copies", F.lit(0).cast("bigint"))
+        else:
+            table = table.join(copies, BATCH, "left")
         return stage(table.fillna(0), "summary")
 
     @cached_property

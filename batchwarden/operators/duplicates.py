@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from batchwarden.operators.batching import BATCH, source_columns
 from batchwarden.operators.membership import mark_members
-from batchwarden.sources.staging import Staged, stage, together
+from batchwarden.sources.staging import Staged, stage
 
 FINGERPRINT = "_fingerprint"
 REPEATED_KEY = "_repeated_key"
@@ -33,23 +33,32 @@ def fingerprint(df: DataFrame, columns: list[str]) -> Column:
 
 @dataclass(frozen=True)
 class Duplicates:
-    """Repeated keys (batch, key, n) and fully repeated rows (batch, fingerprint, columns, n)."""
+    """Repeated keys (batch, key, n) and fully repeated rows (batch, fingerprint, columns, n).
+
+    Either is None where nothing can be repeated.
+    """
 
     key: str | None
     columns: list[str]
     keys: Staged | None
-    rows: Staged
+    rows: Staged | None
 
-    def copies_per_batch(self) -> DataFrame:
+    def copies_per_batch(self) -> DataFrame | None:
         """Number of fully duplicated rows per batch."""
+        if self.rows is None:
+            return None
         return self.rows.df.groupBy(BATCH).agg(F.sum("n").alias("n_copies"))
 
 
+def key_counts(batched: DataFrame, key: str) -> DataFrame:
+    """Rows per key met more than once within a batch, and rows without a key."""
+    counts = batched.groupBy(BATCH, key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter((F.col("n") > 1) | F.col(key).isNull())
+
+
 def repeated_keys(batched: DataFrame, key: str) -> DataFrame:
     """Keys met more than once within a batch; rows without a key are no duplicates."""
-    keyed = batched.filter(F.col(key).isNotNull())
-    counts = keyed.groupBy(BATCH, key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") > 1)
+    return key_counts(batched.filter(F.col(key).isNotNull()), key)
 
 
 def copied_rows(batched: DataFrame, columns: list[str]) -> Staged:
@@ -69,16 +78,23 @@ def copied_rows(batched: DataFrame, columns: list[str]) -> Staged:
 
 
 def find_duplicates(batched: DataFrame, key: str | None) -> Duplicates:
-    """Count and stage the repeated keys and the fully repeated rows of every batch."""
+    """Count and stage the repeated keys and the fully repeated rows of every batch.
+
+    Copies of a row repeat its key, if it has one.  So whole rows are only looked at where the key
+    is repeated or missing, and not at all in a table where every row has a key of its own.
+    """
     columns = source_columns(batched)
-    key = key if key in columns else None
-    if key is None:
+    if key not in columns:
         return Duplicates(None, columns, None, copied_rows(batched, columns))
-    keys, rows = together(
-        lambda: stage(repeated_keys(batched, key), "repeated-keys"),
-        lambda: copied_rows(batched, columns),
-    )
-    return Duplicates(key, columns, keys, rows)
+    counts = stage(key_counts(batched, key), "repeated-keys")
+    if counts.rows == 0:
+        return Duplicates(key, columns, None, None)
+    keys = Staged(counts.df.filter(F.col(key).isNotNull()), counts.rows)
+    candidates = batched
+    if keys.fits:
+        candidates = mark_members(batched, keys, [BATCH, key], REPEATED_KEY)
+        candidates = candidates.filter(F.col(REPEATED_KEY) | F.col(key).isNull()).drop(REPEATED_KEY)
+    return Duplicates(key, columns, keys, copied_rows(candidates, columns))
 
 
 def mark_duplicates(batched: DataFrame, found: Duplicates) -> DataFrame:
@@ -92,7 +108,7 @@ def mark_duplicates(batched: DataFrame, found: Duplicates) -> DataFrame:
         rows = rows.withColumn(REPEATED_KEY, F.lit(False))
     else:
         rows = mark_members(rows, found.keys, [BATCH, found.key], REPEATED_KEY)
-    if found.rows.rows == 0:
+    if found.rows is None or found.rows.rows == 0:
         return rows.withColumn(COPIED_ROW, F.lit(False))
     printed = fingerprint(batched, found.columns)
     members = found.rows

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -509,8 +508,7 @@ def null_rate_delta(spark, sf_dir):
 @query
 def category_shift(spark, sf_dir):
     columns = ["title_status", "brand", "model"]
-    settings = replace(TRENDING.drift, category_columns=tuple(columns))
-    profile = TRENDING.but(drift=settings)
+    profile = TRENDING.with_drift(category_columns=tuple(columns))
     clean, statistics = _statistics(_drifting(spark, sf_dir, TREND), profile)
     shifts = drift.category_shift_by_batch(clean, statistics, columns)
     return shifts.select(BATCH, *[_round(f"shift_{c}", f"shift_{c}") for c in columns])

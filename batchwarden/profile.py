@@ -89,6 +89,10 @@ class TableProfile:
         """A copy with some settings replaced."""
         return replace(self, **changes)
 
+    def with_drift(self, **changes) -> "TableProfile":
+        """A copy with some drift settings replaced."""
+        return replace(self, drift=replace(self.drift, **changes))
+
     @property
     def numeric_columns(self) -> tuple[str, ...]:
         """Every column the profile treats as a number."""

@@ -31,8 +31,6 @@ def coerce_types(
             value = to_number(value, column.dataType)
         elif isinstance(column.dataType, (T.FloatType, T.DoubleType)):
             value = nan_to_null(value)
-        elif isinstance(column.dataType, T.StringType):
-            value = missing_to_null(value)
         columns.append(value.alias(column.name))
     return df.select(*columns)
 
@@ -57,5 +55,6 @@ def read_csv(
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    raw = raw.select(*[missing_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
     mapping = profile.column_map if column_map is None else column_map
     return coerce_types(normalise_headers(raw, mapping), profile, timestamp_formats)

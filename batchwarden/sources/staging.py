@@ -7,8 +7,6 @@ what decides whether it may be broadcast.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F
@@ -59,8 +57,3 @@ def stage(df: DataFrame, label: str) -> Staged:
     rows = counted_write(df, path, "error")
     return Staged(spark.read.schema(df.schema).parquet(path), rows)
 
-
-def together(*jobs: Callable[[], Staged]) -> list[Staged]:
-    """Run independent stagings at the same time, so that one fills the other's idle slots."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]

@@ -34,7 +34,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce_types(spark.read.parquet(f"{sf_dir}/events.parquet"), EVENTS)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use every core for a table that comes in fewer pieces than there are cores.
+
+    Larger tables come in enough pieces and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings joined from orders, their lines and the parts, with normalised types."""
     register(spark, sf_dir, "lineitem", "orders", "part")
+    lines = spread(spark.table("lineitem"), "l_orderkey", "l_linenumber", "l_suppkey")
+    lines.createOrReplaceTempView("lineitem")
     return coerce_types(spark.sql(LISTINGS_SQL), LISTINGS)
