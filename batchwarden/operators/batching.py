@@ -20,9 +20,26 @@ PERIOD = "_period_start"
 ALL = "all"
 
 
+# Columns the engine adds to the data; every other column came with it.
+ENGINE_COLUMNS = frozenset(
+    {
+        BATCH,
+        PERIOD,
+        "_flags",
+        "_is_error",
+        "_disposition",
+        "_defect",
+        "_fingerprint",
+        "_repeated_key",
+        "_copied_row",
+        "_split_key",
+    }
+)
+
+
 def is_internal(name: str) -> bool:
     """Whether a column was added by the engine."""
-    return name.startswith("_")
+    return name in ENGINE_COLUMNS
 
 
 def source_columns(df: DataFrame) -> list[str]:

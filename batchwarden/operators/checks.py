@@ -174,16 +174,16 @@ class BatchReport:
         for column, name in names.items():
             share = F.try_divide(F.col(name), F.col("n_rows"))
             sizes = sizes.withColumn(
-                f"over_{column}", F.coalesce(share > limits[column], F.lit(False))
+                f"_over_{column}", F.coalesce(share > limits[column], F.lit(False))
             )
-        strict = [F.col(f"over_{c}") for c in rules.null_columns if limits[c] == 0.0]
-        return stage(sizes.withColumn("nulls_error", _any(strict)), "facts")
+        strict = [F.col(f"_over_{c}") for c in rules.null_columns if limits[c] == 0.0]
+        return stage(sizes.withColumn("_nulls_error", _any(strict)), "facts")
 
     @cached_property
     def kept(self) -> DataFrame:
         """The rows of the reported batches, with the null verdict of their batch."""
-        over = [f"over_{c}" for c in self.rules.null_columns]
-        facts = self.facts.side().select(BATCH, "nulls_error", *over)
+        over = [f"_over_{c}" for c in self.rules.null_columns]
+        facts = self.facts.side().select(BATCH, "_nulls_error", *over)
         return self.batched.join(facts, BATCH)
 
     @cached_property
@@ -197,7 +197,7 @@ class BatchReport:
         """Every row with one column per check outcome."""
         rules = self.rules
         rows = dup.mark_duplicates(self.kept, self.duplicates)
-        nulls = [F.col(f"over_{c}") & rules.null(c) for c in rules.null_columns]
+        nulls = [F.col(f"_over_{c}") & rules.null(c) for c in rules.null_columns]
         return rows.withColumns(
             {
                 "_schema": rules.schema_failures(),
@@ -214,7 +214,7 @@ class BatchReport:
         key_error = F.lit(self.profile.key_severity == ERROR)
         return [
             (SCHEMA, F.col("_schema") > 0, F.lit(True)),
-            (NULLS, F.col("_nulls"), F.col("nulls_error")),
+            (NULLS, F.col("_nulls"), F.col("_nulls_error")),
             (RANGES, F.col("_ranges"), F.lit(True)),
             (DUPLICATES, F.col("_duplicate"), key_error),
             (self.profile.category_check, F.col("_category"), F.lit(False)),
@@ -294,7 +294,7 @@ class BatchReport:
         rows_text = _counted(f"{{n}} rows (min {profile.min_rows})", n["n_rows"])
 
         limits = profile.null_fraction_max
-        over = {c: n[f"over_{c}"] for c in rules.null_columns}
+        over = {c: n[f"_over_{c}"] for c in rules.null_columns}
         any_over = _any(list(over.values()))
         cells = [F.when(o, n[f"null_{c}"]).otherwise(0) for c, o in over.items()]
         n_nulls = reduce(Column.__add__, cells, F.lit(0))
@@ -312,7 +312,7 @@ class BatchReport:
         null_text = F.when(~any_over, F.lit("null fractions within thresholds")).otherwise(
             F.concat_ws("; ", *null_parts)
         )
-        null_severity = F.when(n["nulls_error"], F.lit(ERROR)).otherwise(F.lit(WARN))
+        null_severity = F.when(n["_nulls_error"], F.lit(ERROR)).otherwise(F.lit(WARN))
 
         range_parts = []
         for c in rules.range_columns:

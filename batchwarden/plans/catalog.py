@@ -609,10 +609,10 @@ def run_history_json(spark, sf_dir):
 
 def _split_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Feature rows of all listings, split into training and test rows."""
-    rows = testdata.listings(spark, sf_dir).withColumn("_key", F.col("vin_strict"))
-    rows = features.clean_features(rows, LISTINGS, keep=("_key",))
+    rows = testdata.listings(spark, sf_dir).withColumn("_split_key", F.col("vin_strict"))
+    rows = features.clean_features(rows, LISTINGS, keep=("_split_key",))
     rows = stage(rows, "feature-rows").df
-    return features.split(rows, F.col("_key"), LISTINGS.test_size, LISTINGS.seed)
+    return features.split(rows, F.col("_split_key"), LISTINGS.test_size, LISTINGS.seed)
 
 
 @query
@@ -631,15 +631,15 @@ def split_counts(spark, sf_dir):
     )
     return sides.groupBy("side").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.min("_key").alias("first_key"),
-        F.max("_key").alias("last_key"),
+        F.min("_split_key").alias("first_key"),
+        F.max("_split_key").alias("last_key"),
     )
 
 
 def _gappy_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training rows in which some mileages are missing."""
     train, _ = _split_rows(spark, sf_dir)
-    gap = inject.hash32("gap", F.col("_key")) % 1000 < 150
+    gap = inject.hash32("gap", F.col("_split_key")) % 1000 < 150
     return train.withColumn("mileage", F.when(~gap, F.col("mileage")))
 
 
@@ -655,7 +655,7 @@ def train_medians(spark, sf_dir):
 def scaled_numeric(spark, sf_dir):
     train = _gappy_training(spark, sf_dir)
     profile = LISTINGS.but(categorical=())
-    encoders = features.fit_preprocessor(train.select("_key", "year", "mileage", "price"), profile)
+    encoders = features.fit_preprocessor(train.select("_split_key", "year", "mileage", "price"), profile)
     made = encoders.transform(train, training=True)
     place = {name: i for i, name in enumerate(encoders.feature_names)}
     values = F.transform(
@@ -663,7 +663,7 @@ def scaled_numeric(spark, sf_dir):
         lambda x: x,
     )
     return made.select(
-        F.col("_key").alias("vin_strict"),
+        F.col("_split_key").alias("vin_strict"),
         F.round(values[place["num__year"]], 4).alias("year"),
         F.round(values[place["num__mileage"]], 4).alias("mileage"),
     )
@@ -692,7 +692,7 @@ def onehot_nonzeros(spark, sf_dir):
         F.get_json_object(F.to_json(F.struct("features")), "$.features.indices"), "array<int>"
     )
     names = F.array(*[F.lit(n) for n in encoders.feature_names])
-    hot = made.select("_key", F.explode(indices).alias("i")).select(
+    hot = made.select("_split_key", F.explode(indices).alias("i")).select(
         F.element_at(names, F.col("i") + 1).alias("feature")
     )
     hot = hot.filter(F.col("feature").startswith("cat__"))
@@ -706,7 +706,7 @@ def _two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out predictions of the mean baseline and of a line over mileage."""
     train, test = _split_rows(spark, sf_dir)
     profile = LISTINGS.but(numeric=("mileage",), categorical=())
-    columns = ("_key", "mileage", "price")
+    columns = ("_split_key", "mileage", "price")
     train, test = train.select(*columns), test.select(*columns)
     encoders = features.fit_preprocessor(train, profile)
     rows = encoders.transform(models.labelled(train, profile), training=True)
@@ -736,14 +736,12 @@ def winner_and_improvement(spark, sf_dir):
 def winner_per_batch(spark, sf_dir):
     """Every quarter's prices predicted by the overall mean and by half of it."""
     rows = batching.assign_batches(testdata.listings(spark, sf_dir), LISTINGS)
-    mean = rows.agg(F.avg("price").alias("mean"))
+    mean = F.lit(rows.agg(F.avg("price")).first()[0])
     guesses = F.array(
-        F.struct(F.lit(metrics.BASELINE).alias("model"), F.lit(0).alias("ord"), F.col("mean").alias("prediction")),
-        F.struct(F.lit("half_mean").alias("model"), F.lit(1).alias("ord"), (F.col("mean") / 2).alias("prediction")),
-    )
-    rows = rows.join(F.broadcast(mean)).select(
-        BATCH, F.col("price").alias("label"), F.inline(guesses)
+        F.struct(F.lit(metrics.BASELINE).alias("model"), F.lit(0).alias("ord"), mean.alias("prediction")),
+        F.struct(F.lit("half_mean").alias("model"), F.lit(1).alias("ord"), (mean / 2).alias("prediction")),
     )
+    rows = rows.select(BATCH, F.col("price").alias("label"), F.inline(guesses))
     best = metrics.winner(metrics.score(rows, [BATCH]), [BATCH])
     return best.select(
         BATCH, "winner", "beats_baseline", F.round("mae", 4).alias("mae"), F.round("r2", 4).alias("r2")

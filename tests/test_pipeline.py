@@ -114,3 +114,10 @@ def test_entry_contract(spark):
     assert {r["_batch"] for r in rows} == {"2024-W01", "2024-W02", "2024-W03", "2024-W04"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(entry.queries()) - set(entry.oracle_sql()) == {"model_comparison", "view_models"}
+
+
+def test_columns_of_the_data_are_all_kept(spark, store):
+    rows = _listings(spark).withColumns({"_id": F.lit(1), "over_price": F.lit("x"), "n_rows": F.lit(2)})
+    result = run_batches(rows, YEARLY, store, train=False)
+    assert set(rows.columns) <= set(result.clean.columns)
+    assert result.clean.filter("_id = 1 AND over_price = 'x' AND n_rows = 2").count() == result.clean.count()
