@@ -33,7 +33,7 @@ ORACLES = {
     "op6_quality_rules": rf"""
 WITH base AS (
   SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
   FROM documents),
 windows AS (
   SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
@@ -68,7 +68,7 @@ FROM v
 WITH RECURSIVE vectors AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
-    AND len(list_filter(embedding, x -> isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len([x FOR x IN embedding IF isnan(x) OR isinf(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
