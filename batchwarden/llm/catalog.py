@@ -5,6 +5,7 @@ from __future__ import annotations
 from batchwarden.llm.embeddings import op10_embedding_near_dedup
 from batchwarden.llm.html import op1_html_extract
 from batchwarden.llm.huffman import op3_token_id_files
+from batchwarden.llm.language_model import op9_language_model_scores
 from batchwarden.llm.packing import op4_best_fit_packing
 from batchwarden.llm.pii import op7_pii_sanitise
 from batchwarden.llm.quality import op6_quality_rules
@@ -23,6 +24,7 @@ QUERIES = {
         op6_quality_rules,
         op7_pii_sanitise,
         op8_simhash_near_dedup,
+        op9_language_model_scores,
         op10_embedding_near_dedup,
     )
 }
