@@ -51,7 +51,7 @@ def inject_defects(
     """Corrupt about ``bad_fraction`` of the rows, in equal parts per defect.
 
     ``_defect`` names what was done to a row.  Bad prices alternate between zero and a negative
-    amount; all rows of the duplicate defect share one key; stale rows get a date five years
+    amount; all rows of the duplicate defect share one key, if there are at least two; stale rows get a date five years
     before ``anchor``.
     """
     draw = hash32(seed, key)
@@ -63,6 +63,9 @@ def inject_defects(
     def hit(defect: str) -> Column:
         return F.coalesce(F.col(DEFECT) == defect, F.lit(False))
 
+    # One row alone cannot repeat a key; it is then left as it was.
+    if rows.filter(hit(DUPLICATE_VIN)).limit(2).count() < 2:
+        rows = rows.withColumn(DEFECT, F.when(~hit(DUPLICATE_VIN), F.col(DEFECT)))
     pick = F.col("_draw")
     years = F.array(*[F.lit(y) for y in IMPOSSIBLE_YEARS])
     year = F.element_at(years, (pick % len(IMPOSSIBLE_YEARS) + 1).cast("int"))

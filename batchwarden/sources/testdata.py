@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from batchwarden.profiles import EVENTS, LISTINGS
 from batchwarden.sources.csv import coerce_types
 
-LISTINGS_SQL = """
+_LISTINGS = """
 SELECT concat('V', l_orderkey, '-', l_linenumber, '-', l_suppkey) AS vin,
        concat('V', l_orderkey, '-', l_linenumber) AS vin_strict,
        p_brand AS brand, p_name AS model, p_type AS condition,
@@ -18,15 +18,11 @@ SELECT concat('V', l_orderkey, '-', l_linenumber, '-', l_suppkey) AS vin,
        (CAST(3000 AS DOUBLE) + CAST(substr(p_brand, 7) AS INT) * CAST(400 AS DOUBLE)
          + (p_size % 30) * CAST(450 AS DOUBLE) - l_quantity * CAST(120 AS DOUBLE)
          + l_extendedprice / CAST(50 AS DOUBLE)) AS price
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-              JOIN part ON l_partkey = p_partkey
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+              JOIN {part} ON l_partkey = p_partkey
 """
-
-
-def register(spark: SparkSession, sf_dir: str, *tables: str) -> None:
-    """Make parquet tables of a folder visible to SQL."""
-    for table in tables:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+_TABLES = ("lineitem", "orders", "part")
+LISTINGS_SQL = _LISTINGS.format(**{name: name for name in _TABLES})
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,18 +30,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce_types(spark.read.parquet(f"{sf_dir}/events.parquet"), EVENTS)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core for a table that comes in fewer pieces than there are cores.
-
-    Larger tables come in enough pieces and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings joined from orders, their lines and the parts, with normalised types."""
-    register(spark, sf_dir, "lineitem", "orders", "part")
-    lines = spread(spark.table("lineitem"), "l_orderkey", "l_linenumber", "l_suppkey")
-    lines.createOrReplaceTempView("lineitem")
-    return coerce_types(spark.sql(LISTINGS_SQL), LISTINGS)
+    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in _TABLES}
+    return coerce_types(spark.sql(_LISTINGS, **tables), LISTINGS)

@@ -19,12 +19,13 @@ LISTING_DDL = (
     "price double, brand string, model string, year int, mileage double, "
     "title_status string, vin string"
 )
-CLEAN_ROWS = [
-    (12000.0, "toyota", "corolla", 2018, 45000.0, "clean", "V1"),
-    (8500.0, "ford", "focus", 2015, 80000.0, "clean", "V2"),
-    (30000.0, "bmw", "3 series", 2020, 15000.0, "lien", "V3"),
-    (15000.0, "honda", "civic", 2019, 30000.0, "salvage", "V4"),
-]
+FLEET = 7
+
+
+def fleet_row(i: int) -> list:
+    """The i-th listing of a fleet without any fault."""
+    make = ("skoda", "seat", "dacia")[i % 3]
+    return [2400.0 + 950 * i, make, f"{make}-{i}", 2009 + i, 9000.0 * (i + 1), ("clean", "rebuilt")[i % 2], f"W{i}"]
 
 
 @pytest.fixture(scope="session")
@@ -35,18 +36,19 @@ def spark():
 
 @pytest.fixture
 def clean_df(spark):
-    """Four valid listings."""
-    return spark.createDataFrame(CLEAN_ROWS, LISTING_DDL)
+    """A fleet without faults."""
+    return spark.createDataFrame([tuple(fleet_row(i)) for i in range(FLEET)], LISTING_DDL)
 
 
 @pytest.fixture
 def dirty_df(spark):
-    """The valid listings with a bad price, a bad year, a missing brand and a repeated key."""
-    rows = [list(r) for r in CLEAN_ROWS]
-    rows[0][0] = -5000.0
-    rows[1][3] = 1200
-    rows[2][1] = None
-    rows[3][6] = "V1"
+    """The fleet with a key held three times, a mileage below zero, a price too high and a make missing."""
+    rows = [fleet_row(i) for i in range(FLEET)]
+    for i in (3, 5):
+        rows[i][6] = "W0"
+    rows[4][4] = -1.0
+    rows[2][0] = 3.5e6
+    rows[6][1] = None
     return spark.createDataFrame([tuple(r) for r in rows], LISTING_DDL)
 
 

@@ -39,7 +39,7 @@ def test_missing_column(clean_df):
 
 def test_min_rows(clean_df):
     r = result_of(whole_report(clean_df, VEHICLES), "min_rows")
-    assert (r["passed"], r["n_violations"], r["detail"]) == (False, 1, "4 rows (min 100)")
+    assert (r["passed"], r["n_violations"], r["detail"]) == (False, 1, "7 rows (min 100)")
 
 
 def test_empty_table_is_reported(clean_df):
@@ -65,14 +65,14 @@ def test_ranges_skip_absent_columns(clean_df):
     assert result_of(report, "ranges")["passed"]
 
 
-@pytest.mark.parametrize("limit,severity", [(0.0, "ERROR"), (0.10, "WARN")])
+@pytest.mark.parametrize("limit,severity", [(0.0, "ERROR"), (0.14, "WARN")])
 def test_null_policy_severity(dirty_df, limit, severity):
     r = result_of(whole_report(dirty_df, SMALL.but(null_fraction_max={"brand": limit})), "nulls")
     assert (r["passed"], r["severity"], r["n_violations"]) == (False, severity, 1)
 
 
 def test_null_threshold_is_strict_and_absent_columns_are_skipped(dirty_df):
-    limits = {"brand": 0.25, "nonexistent": 0.0}
+    limits = {"brand": 1 / 7, "nonexistent": 0.0}
     assert result_of(whole_report(dirty_df, SMALL.but(null_fraction_max=limits)), "nulls")["passed"]
 
 
@@ -93,27 +93,28 @@ def test_one_zero_tolerance_column_makes_all_null_rows_errors(spark):
 def test_duplicates_flag_every_copy(dirty_df):
     report = whole_report(dirty_df, SMALL)
     r = result_of(report, "duplicates")
-    assert (r["passed"], r["n_violations"]) == (False, 2)
+    assert (r["passed"], r["n_violations"]) == (False, 3)
     flagged = report.flagged.filter("array_contains(_flags, 'duplicates')").collect()
-    assert {x["brand"] for x in flagged} == {"toyota", "honda"}
+    assert {x["model"] for x in flagged} == {"skoda-0", "skoda-3", "dacia-5"}
 
 
 def test_fully_duplicated_rows_without_key_column(spark):
-    df = spark.createDataFrame([(100.0, "x"), (100.0, "x"), (1.0, None)], "price double, brand string")
+    rows = [(7.5, None), (8.5, "opel"), (7.5, None), (7.5, None), (8.5, "Opel")]
+    df = spark.createDataFrame(rows, "price double, brand string")
     r = result_of(whole_report(df, SMALL), "duplicates")
-    assert (r["n_violations"], r["detail"]) == (2, "2 fully-duplicated row(s)")
+    assert (r["n_violations"], r["detail"]) == (3, "3 fully-duplicated row(s)")
 
 
 def test_duplicate_severity_is_configured(dirty_df):
     report = whole_report(dirty_df, SMALL.but(key_severity="WARN"))
     assert result_of(report, "duplicates")["severity"] == "WARN"
-    assert report.flagged.filter("_is_error and vin = 'V1' and brand = 'honda'").isEmpty()
+    assert report.flagged.filter("_is_error and model = 'dacia-5'").isEmpty()
 
 
 def test_unknown_category_warns_and_is_case_sensitive(spark):
-    df = spark.createDataFrame([("clean",), ("Clean",), ("flooded",), (None,)], "title_status string")
+    df = spark.createDataFrame([("rebuilt",), (None,), ("REBUILT",), ("scrapped",), ("lien",), ("",)], "title_status string")
     r = result_of(whole_report(df, SMALL), "category:title_status")
-    assert (r["passed"], r["severity"], r["n_violations"]) == (False, "WARN", 2)
+    assert (r["passed"], r["severity"], r["n_violations"]) == (False, "WARN", 3)
 
 
 def test_absent_columns_are_skipped(clean_df):
@@ -123,10 +124,10 @@ def test_absent_columns_are_skipped(clean_df):
 
 
 def test_consistency(spark):
-    rows = [("Like New", 220000.0), ("good", 90000.0), ("new", None), (None, 99999.0), ("new", 60000.0)]
+    rows = [("NEW", 750_000.0), ("fair", 750_000.0), ("like new", None), (None, 750_000.0), ("new", 5.0), ("new", 400_000.0)]
     df = spark.createDataFrame(rows, "condition string, mileage double")
     r = result_of(whole_report(df, SMALL), "consistency")
-    assert (r["passed"], r["severity"], r["n_violations"]) == (False, "WARN", 1)
+    assert (r["passed"], r["severity"], r["n_violations"]) == (False, "WARN", 2)
 
 
 def test_schema_counts_failure_cases(spark):
@@ -165,7 +166,7 @@ def test_sample_rank_is_limited_before_the_shuffle(dirty_df):
 
 
 def test_totals_and_lines(dirty_df):
-    profile = SMALL.but(consistency=ConsistencyRule("brand", ("toyota",), "mileage", 1))
+    profile = SMALL.but(consistency=ConsistencyRule("brand", ("seat",), "mileage", 10_000))
     report = whole_report(dirty_df, profile)
     totals = checks.report_totals(report.results).first()
     assert (totals["n_passed"], totals["n_warn"], totals["n_error_checks"]) == (3, 2, 3)

@@ -88,15 +88,18 @@ def test_psi_below_a_tied_minimum(spark):
 
 
 def test_category_shift_and_null_rates(spark):
-    clean, passing = _clean(
-        spark,
-        [([1, 1, 1, 1], ["a", "a", "b", "b"]), ([1, None, None, 1], ["a", "c", "c", "c"])],
-    )
+    """Eight rows per batch: a share moves by one and by two eighths, and nulls come and go."""
+    batches = [
+        ([2.0] * 8, list("pppppqqr")),
+        ([2.0] * 5 + [None] * 3, list("ppppqqqr")),
+        ([None] + [2.0] * 7, list("ppqqqsss")),
+    ]
+    clean, passing = _clean(spark, batches)
     statistics = stage(drift.batch_statistics(clean, passing, PROFILE), "s")
     shift = drift.category_shift_by_batch(clean, statistics, ["c", "absent"])
-    assert [r["shift_c"] for r in shift.orderBy("_batch").collect()] == [None, 0.75]
+    assert [r["shift_c"] for r in shift.orderBy("_batch").collect()] == [None, 0.125, 0.375]
     delta = drift.null_rate_deltas(statistics.df, ["x"]).orderBy("_batch").collect()
-    assert [r["delta_x"] for r in delta] == [None, 0.5]
+    assert [r["delta_x"] for r in delta] == [None, 0.375, -0.25]
 
 
 def test_category_shift_matches_pandas(spark):

@@ -71,3 +71,10 @@ def test_drift_over_periods(spark):
         assert abs(r["p"] - 100 * 1.1**k * (1.5 if k >= 2 else 1)) < 1e-9
         assert abs(r["m"] - min(0.02 + 0.3 * k, 0.6)) < 0.05
         assert abs(r["b"] - (0.2 if k >= 3 else 0)) < 0.05
+
+
+def test_a_single_row_gets_no_shared_key(spark):
+    rows = spark.createDataFrame([(1.0, "b", 2001, "K1", "2024-01-01")], "price double, brand string, year int, vin string, posting_date string")
+    for seed in range(12):
+        out = inject.inject_defects(rows, F.col("vin"), 1.0, "2024-02-01", seed).first()
+        assert out["vin"] == "K1" and out["_defect"] != inject.DUPLICATE_VIN

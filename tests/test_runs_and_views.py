@@ -10,22 +10,27 @@ from pyspark.sql import functions as F
 from batchwarden.operators import runs, views
 
 
+LABELS = ["2023-Q2", "2023-Q3", "2023-Q4", "2024-Q1", "2024-Q2"]
+
+
+def _figures(k: int) -> dict:
+    """Every figure of the k-th run follows from k; the first has no drift, the third was not trained."""
+    drift = Row(psi={"price": k / 16}, null_rate_delta={}, category_shift={"brand": k / 64}, freshness_days=2.0 * k, alerts=["moved"] * (k - 2))
+    return {
+        "rate": 1 - k / 8, "held": 11 * k, "days": 90.0 - k, "null": k / 32,
+        "mae": None if k == 2 else 400.0 + 25 * k, "drift": drift if k else None,
+    }
+
+
 def _history(spark):
-    stats = lambda null: {c: Row(mean=1.0, null_rate=null if c == "mileage" else 0.0) for c in ("price", "mileage")}
-    drift = lambda psi, shift, alerts: Row(
-        psi={"price": psi}, null_rate_delta={}, category_shift={"brand": shift}, freshness_days=1.0, alerts=alerts
-    )
     rows = []
-    facts = [
-        ("2024-W05", 0.375, 49, 26.0, 1150.0, 0.15, drift(0.35, 0.05, ["PSI drift on price: 0.350 > 0.2"])),
-        ("2024-W01", 0.5, 40, 54.0, 900.0, 0.0, None),
-        ("2024-W02", 0.5, 55, 47.0, None, 0.05, drift(0.03, 0.02, [])),
-    ]
-    for label, rate, held, days, mae, null, found in facts:
-        week = int(label[-2:])
+    for k in (3, 0, 4, 2, 1):
+        f = _figures(k)
+        stats = {c: Row(mean=1.0, null_rate=f["null"] if c == "mileage" else 0.0) for c in ("price", "mileage")}
+        day = datetime(2023, 4 + k, 1)
         rows.append(
-            (f"{label}-x", datetime(2024, 1, week), label, datetime(2024, 1, week), 1000, rate, 3,
-             days, held, mae is None, stats(null), found, mae, mae, 0.9 if mae else None)
+            (f"run-{k}", day, LABELS[k], day, 600 + k, f["rate"], k, f["days"], f["held"], k == 2, stats,
+             f["drift"], f["mae"], f["mae"], 0.5 if f["mae"] else None)
         )
     return spark.createDataFrame(rows, runs.RUN_SCHEMA)
 
@@ -33,14 +38,14 @@ def _history(spark):
 def test_round_trip_and_order(spark, store):
     assert runs.load_runs(store).isEmpty()
     assert runs.latest_run(runs.load_runs(store)).isEmpty()
-    runs.save_runs(store, _history(spark).filter("batch_label <> '2024-W05'"))
-    runs.save_runs(store, _history(spark).filter("batch_label = '2024-W05'"))
+    runs.save_runs(store, _history(spark).filter("n_error_checks % 2 = 0"))
+    runs.save_runs(store, _history(spark).filter("n_error_checks % 2 = 1"))
     loaded = runs.load_runs(store).collect()
-    assert [r["batch_label"] for r in loaded] == ["2024-W01", "2024-W02", "2024-W05"]
-    assert loaded[0]["drift"] is None and loaded[1]["mae"] is None
-    assert loaded[2]["col_stats"]["mileage"]["null_rate"] == 0.15
-    assert runs.latest_run(runs.load_runs(store)).first()["batch_label"] == "2024-W05"
-    assert runs.previous_run(runs.load_runs(store)).first()["batch_label"] == "2024-W05"
+    assert [r["batch_label"] for r in loaded] == LABELS
+    assert loaded[0]["drift"] is None and loaded[2]["mae"] is None
+    assert loaded[4]["col_stats"]["mileage"]["null_rate"] == 0.125
+    assert runs.latest_run(runs.load_runs(store)).first()["batch_label"] == LABELS[-1]
+    assert runs.previous_run(runs.load_runs(store)).first()["batch_label"] == LABELS[-1]
 
 
 def test_json_export_round_trips(spark):
@@ -53,26 +58,30 @@ def test_stamps_follow_period_order(spark):
     records = _history(spark).drop("run_id", "ts")
     started = datetime.fromisoformat("2024-05-01T00:00:00+00:00")
     stamped = runs.stamp_runs(records, started).orderBy("ts").collect()
-    assert [r["batch_label"] for r in stamped] == ["2024-W01", "2024-W02", "2024-W05"]
-    assert stamped[1]["run_id"] == "2024-W02-2024-05-01T00:00:00.000001+00:00"
+    assert [r["batch_label"] for r in stamped] == LABELS
+    assert stamped[1]["run_id"] == "2023-Q3-2024-05-01T00:00:00.000001+00:00"
 
 
 def test_views(spark):
     history = _history(spark)
     order = lambda df: df.orderBy("batch_label").collect()
-    quality = order(views.quality_frame(history))
-    assert quality[0].asDict() == {
-        "batch_label": "2024-W01", "dq_pass_rate": 0.5, "n_error_checks": 3, "n_quarantined": 40, "n_rows": 1000,
-    }
-    assert [r["mae"] for r in order(views.model_frame(history))] == [900.0, None, 1150.0]
-    assert [r["freshness_days"] for r in order(views.freshness_frame(history))] == [54.0, 47.0, 26.0]
+    wanted = [_figures(k) for k in range(5)]
+    for k, row in enumerate(order(views.quality_frame(history))):
+        assert row.asDict() == {
+            "batch_label": LABELS[k], "dq_pass_rate": wanted[k]["rate"], "n_error_checks": k,
+            "n_quarantined": wanted[k]["held"], "n_rows": 600 + k,
+        }
+    assert [r["mae"] for r in order(views.model_frame(history))] == [w["mae"] for w in wanted]
+    assert [r["freshness_days"] for r in order(views.freshness_frame(history))] == [w["days"] for w in wanted]
     psi = order(views.psi_frame(history, ["price", "absent"]))
-    assert [r["price"] for r in psi] == [None, 0.03, 0.35] and psi[2]["absent"] is None
-    assert [r["brand"] for r in order(views.category_shift_frame(history, ["brand"]))] == [None, 0.02, 0.05]
-    assert [r["mileage"] for r in order(views.null_rate_frame(history, ["mileage"]))] == [0.0, 0.05, 0.15]
+    assert [r["price"] for r in psi] == [None, *(k / 16 for k in range(1, 5))] and psi[4]["absent"] is None
+    shifts = order(views.category_shift_frame(history, ["brand"]))
+    assert [r["brand"] for r in shifts] == [None, *(k / 64 for k in range(1, 5))]
+    assert [r["mileage"] for r in order(views.null_rate_frame(history, ["mileage"]))] == [w["null"] for w in wanted]
     head = views.headline(history).first()
+    last = wanted[-1]
     assert (head["n_runs"], head["latest_dq_pass_rate"], head["latest_mae"], head["latest_n_quarantined"]) == (
-        3, 0.375, 1150.0, 49,
+        5, last["rate"], last["mae"], last["held"],
     )
 
 
