@@ -27,8 +27,8 @@ PIECES = re.compile(f"[ \n][^{SPACE}]+|[^{SPACE}]+|[{SPACE}]+(?=[{SPACE}][^{SPAC
 WORDS = re.compile(f"[^{SPACE}]+")
 # Stands between pieces encoded in one call; pieces that hold it are encoded on their own.
 MARK = "\x00"
-# At about 180 bytes each a full memo takes some 150 MB.
-MEMO_PIECES = 800_000
+# At about 180 bytes each a full memo takes some 300 MB.
+MEMO_PIECES = 1_600_000
 # Pieces joined into one call of the tokenizer.
 CALL_PIECES = 2000
 # Piece length up to which it is worth keeping.
@@ -90,7 +90,7 @@ class Encoder:
         if len(self.memo) > MEMO_PIECES:
             self.memo.clear()
         split = [self.pieces.findall(text) for text in texts]
-        new = list({piece for pieces in split for piece in pieces} - self.memo.keys())
+        new = list(set().union(*split).difference(self.memo))
         self._learn(new)
         ids = [np.frombuffer(b"".join(map(self.memo.__getitem__, pieces)), "<u4") for pieces in split]
         for piece in new:
