@@ -23,7 +23,7 @@ from batchwarden.llm.common import table
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"  # stands for a space inside pieces
 UNKNOWN_PENALTY = 10.0
-MEMO_WORDS = 500_000
+MEMO_WORDS = 400_000  # in each of two generations
 TEXTS = 256
 
 
@@ -39,15 +39,19 @@ class Pieces:
         self.unknown = min(model.get_score(i) for i in plain) - UNKNOWN_PENALTY
         self.bytes = {int(self.names[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
         self.unknown_id = model.unk_id()
-        self.trie: dict = {}
+        # A node: what follows by character, the id of the piece that ends here (-1: none), its score.
+        self.trie: dict[str, list] = {}
         for i in plain:
-            node = self.trie
+            following, node = self.trie, None
             for character in self.names[i]:
-                node = node.setdefault(character, {})
-            node[""] = (i, model.get_score(i))
+                node = following.setdefault(character, [{}, -1, 0.0])
+                following = node[0]
+            node[1:] = i, model.get_score(i)
         # Whether a word mark can only begin a piece or follow other marks, so that words part there.
         self.words_part = not any(MARK in name.lstrip(MARK) for name in (self.names[i] for i in plain))
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.coded = [i.to_bytes(4, "little") for i in range(size)]
         values = {number: value for value, number in self.bytes.items()}
         silent = {i for i in range(size) if model.is_control(i) or model.is_unknown(i)}
         self.outputs = [bytes([values[i]]) if i in values else b"" if i in silent else self.names[i].replace(MARK, " ").encode() for i in range(size)]
@@ -62,30 +66,38 @@ class Pieces:
         """Ids of a normalised text in runs, each as soon as it is certain."""
         best: dict[int, tuple[float, int, int]] = {0: (0.0, -1, -1)}  # end: score, begin, id (-1: unknown)
         base = reach = 0
+        trie, longest, unknown = self.trie, self.longest, self.unknown
         for at in range(len(text)):
-            if at > base and at not in best:
+            here = best.get(at)
+            if here is None:
                 continue
             if reach <= at and at > base:
                 yield self._path(text, best, base, at)
                 best, base = {at: (0.0, -1, -1)}, at
-            elif at - base >= 4 * self.longest and at % self.longest == 0:
+                here = best[at]
+            elif at - base >= 4 * longest and at % longest == 0:
                 common = self._common(best, base, at)
                 if common > base:
                     yield self._path(text, best, base, common)
                     best, base = {k: v for k, v in best.items() if k >= common}, common
-            score = best[at][0]
-            node, end, covered = self.trie, at, False
-            while end < len(text) and (node := node.get(text[end])) is not None:
+            score, following, end, covered = here[0], trie, at, False
+            for character in text[at : at + longest]:
+                node = following.get(character)
+                if node is None:
+                    break
                 end += 1
-                hit = node.get("")
-                if hit:
+                following, number, worth = node
+                if number >= 0:
                     covered = covered or end == at + 1
-                    if end not in best or score + hit[1] > best[end][0]:
-                        best[end] = (score + hit[1], at, hit[0])
-                    reach = max(reach, end)
+                    known = best.get(end)
+                    if known is None or score + worth > known[0]:
+                        best[end] = (score + worth, at, number)
+                    if end > reach:
+                        reach = end
             if not covered:
-                if at + 1 not in best or score + self.unknown > best[at + 1][0]:
-                    best[at + 1] = (score + self.unknown, at, -1)
+                known = best.get(at + 1)
+                if known is None or score + unknown > known[0]:
+                    best[at + 1] = (score + unknown, at, -1)
                 reach = max(reach, at + 1)
         if len(text) > base:
             yield self._path(text, best, base, len(text))
@@ -129,14 +141,16 @@ class Pieces:
                 words += [marks] if marks else []
             else:
                 words = ([parts[0]] if parts[0] else []) + [MARK + part for part in parts[1:]]
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
+        if len(self.memo) > MEMO_WORDS:
+            self.memo, self.older = {}, self.memo
+        memo, older, coded = self.memo, self.older, self.coded
         out = []
         for word in words:
             ids = memo.get(word)
             if ids is None:
-                ids = b"".join(np.array(run, "<i4").tobytes() for run in self.stream(word))
+                ids = older.get(word)
+                if ids is None:
+                    ids = b"".join([coded[i] for run in self.stream(word) for i in run])
                 if len(word) <= 64:
                     memo[word] = ids
             out.append(ids)
