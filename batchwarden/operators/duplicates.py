@@ -89,7 +89,7 @@ def find_duplicates(batched: DataFrame, key: str | None) -> Duplicates:
     counts = stage(key_counts(batched, key), "repeated-keys")
     if counts.rows == 0:
         return Duplicates(key, columns, None, None)
-    keys = Staged(counts.df.filter(F.col(key).isNotNull()), counts.rows)
+    keys = Staged(counts.df.filter(F.col(key).isNotNull()), counts.rows, counts.bytes)
     candidates = batched
     if keys.fits:
         candidates = mark_members(batched, keys, [BATCH, key], REPEATED_KEY)

@@ -54,12 +54,12 @@ def gate_verdicts(report: BatchReport) -> DataFrame:
 
 def staged_verdicts(report: BatchReport) -> Staged:
     """The verdicts with their known size: a projection of the staged summary."""
-    return Staged(gate_verdicts(report), report.summary.rows)
+    return Staged(gate_verdicts(report), report.summary.rows, report.summary.bytes)
 
 
 def passing_batches(verdicts: Staged) -> Staged:
     """The verdicts of the batches that were not halted."""
-    return Staged(verdicts.df.filter(~F.col("halted")), verdicts.rows)
+    return Staged(verdicts.df.filter(~F.col("halted")), verdicts.rows, verdicts.bytes)
 
 
 def dispose(flagged: DataFrame, verdicts: Staged) -> DataFrame:

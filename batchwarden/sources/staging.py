@@ -9,31 +9,53 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from batchwarden.session import shared_folder
 
-# A side with more rows than this is joined by a shuffle.
+# A side with more rows or more bytes than this is joined by a shuffle.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
+_ROW_BYTES = 16
 
 
 @dataclass(frozen=True)
 class Staged:
-    """A written intermediate table and its exact row count."""
+    """A written intermediate table, its exact row count, and the measured bytes of its values."""
 
     df: DataFrame
     rows: int
+    bytes: int
 
     @property
     def fits(self) -> bool:
         """Whether the table is small enough to be sent to every executor."""
-        return self.rows <= BROADCAST_ROWS
+        return self.rows <= BROADCAST_ROWS and self.bytes <= BROADCAST_BYTES
 
     def side(self) -> DataFrame:
         """The table as a join side: broadcast when its counted size allows it."""
         return F.broadcast(self.df) if self.fits else self.df
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """The bytes that the values of a row take: texts by their length, nested values by their JSON."""
+
+    def width(name: str, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{name}`")))), F.lit(0))
+        return F.lit(8)
+
+    return sum((width(f.name, f.dataType) for f in df.schema.fields), F.lit(_ROW_BYTES)).cast("bigint")
+
+
+def measured(df: DataFrame) -> Staged:
+    """A table that is already written, counted and measured by one pass over it."""
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()
+    return Staged(df, size["rows"], size["bytes"])
+
+
 def counted_write(df: DataFrame, path: str, mode: str, partition_by: tuple[str, ...] = ()) -> int:
     """Write a parquet table and return its row count, counted while writing.
 
@@ -54,6 +76,8 @@ def stage(df: DataFrame, label: str) -> Staged:
     """Write ``df`` under the shared folder and return the written table."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/batchwarden/{label}-{uuid.uuid4().hex}"
-    rows = counted_write(df, path, "error")
-    return Staged(spark.read.schema(df.schema).parquet(path), rows)
+    seen = Observation()
+    size = F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
+    df.observe(seen, *size).write.mode("error").parquet(path)
+    return Staged(spark.read.schema(df.schema).parquet(path), int(seen.get["rows"]), int(seen.get["bytes"]))
 

@@ -109,3 +109,14 @@ def test_narrowing_leaves_few_values(spark, monkeypatch):
     monkeypatch.setattr(quantiles.Window, "partitionBy", spy)
     out = quantiles.exact_percentiles(df, ["g"], {"q": F.col("v")}, [0.25, 0.5], 10**9).first()["q"]
     assert seen and abs(out[1] - 0.5) < 0.01 and abs(out[0] - 0.25) < 0.01
+
+
+def test_wide_rows_are_not_broadcast(spark, monkeypatch):
+    """A short list of long texts is judged by its bytes."""
+    few = spark.range(20).select("id", F.repeat(F.lit("x"), 5000).alias("note"), F.array("id").alias("ids"))
+    held = staging.stage(few, "wide")
+    assert held.rows == 20 and held.bytes > 20 * 5000
+    assert held.fits and staging.measured(held.df).bytes == held.bytes
+    monkeypatch.setattr(staging, "BROADCAST_BYTES", 50_000)
+    assert not held.fits
+    assert staging.stage(few.limit(0), "none").bytes == 0
