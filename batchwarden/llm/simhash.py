@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from batchwarden.llm.common import attach, stage, table
 from batchwarden.llm.components import components
+from batchwarden.llm.similar import first_ids
 
 BITS = 64
 RADIUS = 2
@@ -129,10 +130,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest doc_id, five-word shingles.
+    """Pipeline stage: of texts connected by a Jaccard similarity of 0.8 or more, the smallest doc_id's.
 
-    Rows that repeat that doc_id are dropped as well; rows without doc_id stay.
+    Sets of five-word shingles are compared, not fingerprints: at that similarity fingerprints lie too
+    many bits apart for masks to tell. Rows that repeat that doc_id are dropped as well; rows without
+    doc_id stay.
     """
-    keep = near_duplicates(docs, width=5).filter("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = docs.join(first_ids(docs, width=5), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return first.unionByName(docs.filter("doc_id IS NULL")).select(*(F.col(f"`{c}`") for c in docs.columns))
