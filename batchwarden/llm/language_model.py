@@ -2,7 +2,8 @@
 
 The probability of a token after its context mixes the bigram and unigram maximum-likelihood estimates
 and a uniform share. The weights depend on how frequent the context is, by powers of two, and are
-learned by expectation-maximisation on the documents that are left out of the counts.
+learned by expectation-maximisation on the training documents alone: each of their tokens is predicted
+from counts without its own occurrence. Held-out documents are scored and teach nothing.
 
 Documents are gathered into blocks of bounded size, which keep their tokens as indexes into their own
 vocabulary. Each block asks for the count of every different unigram and bigram it holds, once: the
@@ -215,7 +216,7 @@ def _estimates(words: np.ndarray, contexts: np.ndarray, both: np.ndarray, n: int
 def learn(cells: list[tuple[int, int, int, int]], uniform: float) -> np.ndarray:
     """Weights of bigram, unigram and uniform share per context bucket, by expectation-maximisation.
 
-    ``cells`` are (bucket, bigram place, unigram place, tokens). Buckets without held-out tokens take
+    ``cells`` are (bucket, bigram place, unigram place, tokens). Buckets without tokens take
     the weights of all together; without any, the three share alike.
     """
     data = np.array(cells, np.int64).reshape(-1, 4)
@@ -275,15 +276,17 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         return run
 
     def tally(row: dict, ngrams: _Ngrams) -> pa.RecordBatch:
-        words, contexts, both = ngrams.counts(row["answers"])
-        bigram, unigram = _estimates(words, contexts, both, n_train)
-        cells, n = np.unique(np.column_stack((_bucket(contexts), _grid(bigram), _grid(unigram))), axis=0, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*cells.T, n)], ["b", "x", "y", "n"])
-
-    held = stored.filter("held").select("block", "held", "vocabulary", "tokens").join(per_block, "block")
-    cells = held.mapInArrow(each(tally), "b bigint, x bigint, y bigint, n bigint").groupBy("b", "x", "y").agg(F.sum("n").alias("n"))
+        # The token's own occurrence is taken out of all its counts, as if it had not been learned from.
+        words, contexts, both = (np.maximum(c - 1, 0) for c in ngrams.counts(row["answers"]))
+        bigram, unigram = _estimates(words, contexts, both, n_train - 1)
+        cells, n = np.unique((_bucket(contexts).astype(np.int64) << 32) | (_grid(bigram) << 16) | _grid(unigram), return_counts=True)
+        columns = (cells >> 32, (cells >> 16) & 0xFFFF, cells & 0xFFFF, n)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["b", "x", "y", "n"])
+
+    train = stored.filter("NOT held").select("block", "held", "vocabulary", "tokens").join(per_block, "block")
+    cells = train.mapInArrow(each(tally), "b bigint, x bigint, y bigint, n bigint").groupBy("b", "x", "y").agg(F.sum("n").alias("n"))
     # As many rows as the grid has cells at most, however large the corpus.
-    weights = learn([tuple(r) for r in cells.collect()], 1 / (n_distinct + 1))
+    weights = learn(sorted(tuple(r) for r in cells.collect()), 1 / (n_distinct + 1))
 
     def scored(row: dict, ngrams: _Ngrams) -> pa.RecordBatch:
         words, contexts, both = ngrams.counts(row["answers"])
