@@ -8,6 +8,7 @@ from batchwarden.llm.huffman import op3_token_id_files
 from batchwarden.llm.language_model import op9_language_model_scores
 from batchwarden.llm.packing import op4_best_fit_packing
 from batchwarden.llm.pii import op7_pii_sanitise
+from batchwarden.llm.prefix_trie import op11_prefix_trie
 from batchwarden.llm.quality import op6_quality_rules
 from batchwarden.llm.sentencepiece import op2_sentencepiece_codec
 from batchwarden.llm.simhash import op8_simhash_near_dedup
@@ -26,6 +27,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_language_model_scores,
         op10_embedding_near_dedup,
+        op11_prefix_trie,
     )
 }
 
@@ -80,5 +82,48 @@ degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, least(e.vec_id, coalesce(l.b, e.vec_id)) AS component_id,
        e.vec_id <= coalesce(l.b, e.vec_id) AS kept
 FROM embeddings e LEFT JOIN degree d ON e.vec_id = d.a LEFT JOIN lowest l ON e.vec_id = l.a
+""",
+    "op11_prefix_trie": rf"""
+WITH RECURSIVE bits(b, k, v) AS (
+  SELECT b, 0, b FROM range(256) AS t(b)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+ids AS (SELECT DISTINCT conv_id AS c, CAST(conv_id AS VARCHAR) AS t FROM conversations WHERE conv_id IS NOT NULL),
+crc(c, t, i, v) AS (
+  SELECT c, t, 0, CAST(4294967295 AS BIGINT) FROM ids
+  UNION ALL
+  SELECT c, t, i + 1, xor(crc.v >> 8, bits.v) FROM crc JOIN bits ON bits.k = 8 AND bits.b = xor(crc.v, ascii(substr(t, i + 1, 1))) & 255
+  WHERE i < length(t)),
+heads AS (SELECT c, c - c % 20 AS base, xor(v, 4294967295) % 4 AS h FROM crc WHERE i = length(t)),
+turns AS (
+  SELECT conv_id AS c, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+built AS (
+  SELECT h.c, t.p, t.d, t.w FROM heads h JOIN turns t ON t.c = h.base AND t.p <= h.h
+  UNION ALL
+  SELECT h.c, t.p + 1000000000, t.d, t.w FROM heads h JOIN turns t ON t.c = h.c AND t.p > h.h),
+paths AS (
+  SELECT c, row_number() OVER w AS depth, string_agg(d, ' ') OVER w AS path, w AS words, count(*) OVER (PARTITION BY c) AS n
+  FROM built WINDOW w AS (PARTITION BY c ORDER BY p ROWS UNBOUNDED PRECEDING)),
+steps AS (
+  SELECT c, depth, path, coalesce(lag(path) OVER (PARTITION BY c ORDER BY depth), '') AS above, words, n FROM paths
+  UNION ALL
+  SELECT h.c, 0, '', NULL, 0, coalesce(x.n, 0) FROM heads h LEFT JOIN (SELECT c, max(n) AS n FROM paths GROUP BY c) x ON x.c = h.c),
+nodes AS (
+  SELECT path, min(c) AS c, min(depth) AS depth, min(above) AS above, count(*) AS n, min(words) AS words,
+         coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE depth = steps.n), '') AS ends
+  FROM steps GROUP BY path),
+leaves AS (SELECT path FROM nodes WHERE path NOT IN (SELECT above FROM nodes WHERE above IS NOT NULL)),
+children AS (SELECT above AS path, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY above),
+under AS (
+  SELECT a.path, sum((b.n - 1) * b.words) AS saved, count(l.path) AS leaves
+  FROM nodes b JOIN (SELECT DISTINCT s.path AS low, t.path FROM steps s JOIN steps t ON s.c = t.c AND t.depth <= s.depth) a ON a.low = b.path
+  LEFT JOIN leaves l ON l.path = b.path GROUP BY a.path)
+SELECT v.c AS conv_id, CAST(v.depth AS BIGINT) AS depth, u.c AS parent_conv_id, CAST(v.n AS BIGINT) AS n_convs,
+       CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, CAST(x.leaves AS BIGINT) AS n_leaves,
+       CAST(x.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM nodes v LEFT JOIN nodes u ON u.path = v.above LEFT JOIN children k ON k.path = v.path JOIN under x ON x.path = v.path
 """,
 }
