@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from batchwarden.llm.embeddings import op10_embedding_near_dedup
+from batchwarden.llm.hard_negatives import op12_hard_negatives
 from batchwarden.llm.html import op1_html_extract
 from batchwarden.llm.huffman import op3_token_id_files
 from batchwarden.llm.language_model import op9_language_model_scores
@@ -28,6 +29,7 @@ QUERIES = {
         op9_language_model_scores,
         op10_embedding_near_dedup,
         op11_prefix_trie,
+        op12_hard_negatives,
     )
 }
 
@@ -125,5 +127,25 @@ SELECT v.c AS conv_id, CAST(v.depth AS BIGINT) AS depth, u.c AS parent_conv_id,
        CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, CAST(x.leaves AS BIGINT) AS n_leaves,
        CAST(x.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
 FROM nodes v LEFT JOIN nodes u ON u.path = v.above LEFT JOIN children k ON k.path = v.path JOIN under x ON x.path = v.path
+""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len([x FOR x IN embedding IF isnan(x) OR isinf(x)]) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, n.other_id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id) AS rank
+  FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+    AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
 """,
 }
