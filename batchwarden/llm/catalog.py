@@ -11,6 +11,7 @@ from batchwarden.llm.packing import op4_best_fit_packing
 from batchwarden.llm.pii import op7_pii_sanitise
 from batchwarden.llm.prefix_trie import op11_prefix_trie
 from batchwarden.llm.quality import op6_quality_rules
+from batchwarden.llm.quality_network import op13_quality_network
 from batchwarden.llm.sentencepiece import op2_sentencepiece_codec
 from batchwarden.llm.simhash import op8_simhash_near_dedup
 from batchwarden.llm.warc import op5_warc_archive
@@ -30,6 +31,7 @@ QUERIES = {
         op10_embedding_near_dedup,
         op11_prefix_trie,
         op12_hard_negatives,
+        op13_quality_network,
     )
 }
 
