@@ -42,7 +42,7 @@ def _present(df: DataFrame, columns) -> list[str]:
 
 
 def psi_by_batch(
-    clean: DataFrame, passing: Staged, columns: list[str], bins: int, largest_batch: int
+    clean: DataFrame, passing: Staged, columns: list[str], bins: int
 ) -> DataFrame:
     """Population stability index of each column against the previous passing batch.
 
@@ -54,7 +54,7 @@ def psi_by_batch(
     shares = [i / bins for i in range(bins + 1)]
     numbers = {c: _number(clean, c) for c in columns}
     edges = exact_percentiles(
-        clean, [BATCH], {f"edges_{c}": numbers[c] for c in columns}, shares, largest_batch
+        clean, [BATCH], {f"edges_{c}": numbers[c] for c in columns}, shares
     )
     edges = stage(passing.df.select(BATCH, PERIOD).join(edges, BATCH, "left"), "edges")
 
@@ -252,7 +252,6 @@ def compute_drift(
     clean: DataFrame,
     passing: Staged,
     profile: TableProfile,
-    largest_batch: int,
     statistics: Staged | None = None,
 ) -> DataFrame:
     """One row per passing batch: freshness, statistics and the drift record.
@@ -269,7 +268,7 @@ def compute_drift(
     table = statistics.df.join(previous_batches(statistics.df).select(BATCH, PREVIOUS), BATCH)
     table = table.join(null_rate_deltas(statistics.df, columns["delta"]).drop(PERIOD), BATCH)
     if columns["psi"]:
-        values = psi_by_batch(clean, passing, columns["psi"], d.psi_bins, largest_batch)
+        values = psi_by_batch(clean, passing, columns["psi"], d.psi_bins)
         table = table.join(values.drop(PERIOD), BATCH)
     if columns["shift"]:
         shifts = category_shift_by_batch(clean, statistics, columns["shift"])

@@ -1,4 +1,4 @@
-"""Marking the rows of a large table whose key is listed in another table."""
+"""Facts about keys attached to the rows of a large table, whatever the keys' skew."""
 
 from __future__ import annotations
 
@@ -12,39 +12,55 @@ from batchwarden.sources.staging import Staged
 HOT_KEYS = 1000
 
 
-def _marked(rows: DataFrame, members: DataFrame, on: list[str], same: list[str], flag: str):
+def _joined(
+    rows: DataFrame, facts: DataFrame, on: list[str], same: list[str], columns: dict[str, str], found: str
+) -> DataFrame:
     """Left join with a flag; ``same`` columns are compared null-safely besides the key."""
-    renamed = members.select(*[F.col(c).alias(f"_m_{c}") for c in on + same])
-    renamed = renamed.withColumn("_m", F.lit(True))
+    values = [F.col(source).alias(f"_v_{i}") for i, source in enumerate(columns.values())]
+    renamed = facts.select(*[F.col(c).alias(f"_m_{c}") for c in on + same], *values, F.lit(True).alias("_m"))
     tests = [F.col(c) == F.col(f"_m_{c}") for c in on]
     tests += [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in same]
     joined = rows.join(renamed, reduce(Column.__and__, tests), "left")
-    found = F.coalesce(F.col("_m"), F.lit(False))
-    return joined.select(*rows.columns, found.alias(flag))
+    taken = [F.col(f"_v_{i}").alias(target) for i, target in enumerate(columns)]
+    return joined.select(*rows.columns, *taken, F.coalesce(F.col("_m"), F.lit(False)).alias(found))
 
 
-def mark_members(
-    rows: DataFrame, members: Staged, on: list[str], flag: str, same: list[str] | None = None
+def look_up(
+    rows: DataFrame,
+    facts: Staged,
+    on: list[str],
+    columns: dict[str, str],
+    found: str,
+    same: list[str] | None = None,
 ) -> DataFrame:
-    """Add a boolean column telling whether the row's key is among ``members``.
+    """Add columns of the fact with the row's key, NULL without one, and whether there is one.
 
-    ``members`` holds each key once, with the number ``n`` of rows that carry it.  A small list is
-    broadcast.  Otherwise the keys that carry a large share of the rows (at most ``HOT_KEYS`` can)
-    are broadcast, rows with those keys or without a key are settled on the spot, and only the
-    evenly spread remainder is joined by a shuffle.
+    ``facts`` holds each key once, with the number ``n`` of rows that carry it; ``columns`` names the
+    new columns and what they are in ``facts``. A small table is broadcast. Otherwise the keys that
+    carry a large share of the rows (at most ``HOT_KEYS`` can) are broadcast, rows with those keys or
+    without a key are settled on the spot, and only the evenly spread remainder is joined by a shuffle.
     """
     same = same or []
-    if members.rows == 0:
-        return rows.withColumn(flag, F.lit(False))
-    if members.fits:
-        return _marked(rows, F.broadcast(members.df), on, same, flag)
+    if facts.rows == 0:
+        types = {target: facts.df.schema[source].dataType for target, source in columns.items()}
+        empty = [F.lit(None).cast(kind).alias(target) for target, kind in types.items()]
+        return rows.select(*rows.columns, *empty, F.lit(False).alias(found))
+    if facts.fits:
+        return _joined(rows, F.broadcast(facts.df), on, same, columns, found)
 
-    total = members.df.agg(F.sum("n")).first()[0]
+    total = facts.df.agg(F.sum("n")).first()[0]
     limit = total // HOT_KEYS
-    hot = members.df.filter(F.col("n") > limit)
-    rest = members.df.filter(F.col("n") <= limit)
+    hot = facts.df.filter(F.col("n") > limit)
+    rest = facts.df.filter(F.col("n") <= limit)
     keyed = reduce(Column.__and__, [F.col(c).isNotNull() for c in on])
-    first = _marked(rows, F.broadcast(hot), on, same, flag)
-    settled = first.filter(F.col(flag) | ~keyed)
-    open_rows = first.filter(~F.col(flag) & keyed).drop(flag)
-    return settled.unionByName(_marked(open_rows, rest, on, same, flag))
+    first = _joined(rows, F.broadcast(hot), on, same, columns, found)
+    settled = first.filter(F.col(found) | ~keyed)
+    open_rows = first.filter(~F.col(found) & keyed).select(*rows.columns)
+    return settled.unionByName(_joined(open_rows, rest, on, same, columns, found))
+
+
+def mark_members(
+    rows: DataFrame, members: Staged, on: list[str], flag: str, same: list[str] | None = None
+) -> DataFrame:
+    """Add a boolean column telling whether the row's key is among ``members``."""
+    return look_up(rows, members, on, {}, flag, same)

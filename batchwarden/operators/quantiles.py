@@ -1,89 +1,60 @@
-"""Exact percentiles per group, at any group size.
+"""Exact percentiles per group, at any group size and on one path.
 
-Spark's exact ``percentile`` keeps every distinct value of a group in one task.  For large groups
-the values are first narrowed down: a bounded sketch gives an interval around each wanted
-percentile that is certain to hold it, and every value outside the intervals is replaced by the
-nearest interval end below it.  The replacement keeps the order of all values and leaves the wanted
-ones untouched, so the percentiles of the few remaining distinct values are the exact ones.
+Values are folded to distinct values with their counts on the map side, dealt into ranges, and the two
+ranks beside each wanted percentile are looked up in the ranges that hold them (see ``ranks``). No task
+ever holds the values of a whole group.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from batchwarden.operators.ranks import at_ranks
 from batchwarden.sources.staging import stage
 
-# Above this many rows in one group, values are narrowed down before they are ranked.
-DIRECT_ROWS = 2_000_000
-SKETCH_ACCURACY = 20_000
-
 
 def exact_percentiles(
-    df: DataFrame,
-    by: list[str],
-    values: dict[str, Column],
-    shares: list[float],
-    largest_group: int,
+    df: DataFrame, by: list[str], values: dict[str, Column], shares: list[float]
 ) -> DataFrame:
-    """Linearly interpolated percentiles of each value per group, as one array column each."""
-    if largest_group <= DIRECT_ROWS:
-        wanted = F.array(*[F.lit(s) for s in shares])
-        found = [F.percentile(v, wanted).alias(name) for name, v in values.items()]
-        return df.groupBy(*by).agg(*found)
-    tables = [_narrowed(df.select(*by, v.alias("_v")), by, name, shares) for name, v in values.items()]
-    return reduce(lambda a, b: a.join(b, by, "full"), tables)
-
-
-def _narrowed(rows: DataFrame, by: list[str], name: str, shares: list[float]) -> DataFrame:
-    """Exact percentiles of ``_v`` by way of narrowed values."""
-    rows = rows.filter(F.col("_v").isNotNull())
-    slack = 3.0 / SKETCH_ACCURACY
-    lows = [max(s - slack, 0.0) for s in shares]
-    highs = [min(s + slack, 1.0) for s in shares]
-    sketch = F.percentile_approx("_v", lows + highs, SKETCH_ACCURACY)
-    ends = rows.groupBy(*by).agg(sketch.alias("_ends"), F.count(F.lit(1)).alias("_n"))
-    ends = stage(ends, "percentile-intervals")
-
-    k = len(shares)
-    # In a small group the slack is less than a row, and there is nothing to narrow down.
-    large = F.col("_n") > 10 * SKETCH_ACCURACY
-    low = [F.when(large & F.lit(lows[i] > 0.0), F.col("_ends")[i]) for i in range(k)]
-    high = [F.when(large & F.lit(highs[i] < 1.0), F.col("_ends")[k + i]) for i in range(k)]
-    v = F.col("_v")
-    kept = F.lit(float("-inf"))
-    narrowed = None
-    for i in range(k):
-        inside = F.when(F.coalesce(v >= low[i], F.lit(True)), v).otherwise(kept)
-        reached = F.coalesce(v <= high[i], F.lit(True))
-        narrowed = F.when(reached, inside) if narrowed is None else narrowed.when(reached, inside)
-        kept = high[i]
-    narrowed = narrowed.otherwise(kept)
-
-    counts = (
-        rows.join(ends.side(), by)
-        .withColumn("_v", narrowed)
-        .groupBy(*by, "_n", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
+    """Linearly interpolated percentiles of each value per group, as one array column each.
+
+    NULL values do not count; a group without any value of a column has NULL there, and a group
+    without any value at all is left out. ``values`` must be doubles.
+    """
+    entries = [F.struct(F.lit(name).alias("_name"), v.alias("_v")) for name, v in values.items()]
+    long = df.select(*by, F.inline(F.array(*entries))).filter(F.col("_v").isNotNull())
+    counts = long.groupBy(*by, "_name", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    counts = stage(counts, "value-counts").df
+
+    def wanted(total: Column) -> Column:
+        """Both ranks beside every share, each with the weight of its value."""
+        both = []
+        for i, share in enumerate(shares):
+            place = F.lit(share) * (total - 1)
+            low, high = F.floor(place), F.ceil(place)
+            both.append(F.struct(F.lit(i).alias("i"), F.lit(False).alias("upper"), low.alias("rank"), (high - place).alias("weight")))
+            both.append(F.struct(F.lit(i).alias("i"), F.lit(True).alias("upper"), high.alias("rank"), (place - low).alias("weight")))
+        return F.array(*both)
+
+    at = at_ranks(counts, [*by, "_name"], "_v", "_c", wanted)
+    picked = at.groupBy(*by).agg(*[_array(name, i).alias(f"_{name}_{i}") for name in values for i in range(len(shares))])
+    return picked.select(*by, *[_percentiles(name, len(shares)).alias(name) for name in values])
+
+
+def _array(name: str, i: int) -> Column:
+    """The lower and the upper value beside one share, with their weights."""
+    here = (F.col("_name") == name) & (F.col("i") == i)
+    entry = F.struct(F.col("_v").alias("v"), F.col("weight").alias("w"))
+    return F.struct(
+        F.max(F.when(here & ~F.col("upper"), entry)).alias("low"), F.max(F.when(here & F.col("upper"), entry)).alias("high")
     )
-    upto = F.sum("_c").over(Window.partitionBy(*by).orderBy("_v"))
-    ranked = counts.withColumn("_upto", upto)
 
-    def at(rank: Column) -> Column:
-        return F.min(F.when(F.col("_upto") > rank, F.col("_v")))
 
-    last = F.col("_n") - 1
+def _percentiles(name: str, n: int) -> Column:
+    """The interpolated percentiles of one value; NULL where the group has none."""
     found = []
-    for i, share in enumerate(shares):
-        place = F.lit(share) * last
-        found += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}")]
-    picked = ranked.groupBy(*by, "_n").agg(*found)
-
-    def between(i: int) -> Column:
-        place = F.lit(shares[i]) * last
-        below, above = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        mixed = (F.ceil(place) - place) * below + (place - F.floor(place)) * above
-        return F.when(below == above, below).otherwise(mixed)
-
-    return picked.select(*by, F.array(*[between(i) for i in range(k)]).alias(name))
+    for i in range(n):
+        low, high = F.col(f"_{name}_{i}.low"), F.col(f"_{name}_{i}.high")
+        mixed = low["w"] * low["v"] + high["w"] * high["v"]
+        found.append(F.when(low["v"] == high["v"], low["v"]).otherwise(mixed))
+    return F.when(F.col(f"_{name}_0.low").isNotNull(), F.array(*found))

@@ -101,14 +101,13 @@ def _report(df: DataFrame, profile: TableProfile) -> checks.BatchReport:
     return checks.BatchReport(batching.assign_batches(df, profile), profile)
 
 
-def _passed(df: DataFrame, profile: TableProfile) -> tuple[DataFrame, Staged, Staged, int]:
-    """Clean rows, verdicts, passing batches and the size of the largest one."""
+def _passed(df: DataFrame, profile: TableProfile) -> tuple[DataFrame, Staged, Staged]:
+    """Clean rows, verdicts and passing batches."""
     report = _report(df, profile)
     verdicts = gate.staged_verdicts(report)
     clean, _ = gate.split_clean_quarantine(report.flagged, verdicts)
     passing = gate.passing_batches(verdicts)
-    largest = passing.df.agg(F.max("n_rows")).first()[0] or 0
-    return stage(clean, "clean").df, verdicts, passing, largest
+    return stage(clean, "clean").df, verdicts, passing
 
 
 def _date(column: str = PERIOD) -> Column:
@@ -471,9 +470,9 @@ def catch_rate(spark, sf_dir):
 
 
 def _psi(df: DataFrame, profile: TableProfile) -> DataFrame:
-    clean, _, passing, largest = _passed(df, profile)
+    clean, _, passing = _passed(df, profile)
     columns = list(profile.drift.psi_columns)
-    values = drift.psi_by_batch(clean, passing, columns, profile.drift.psi_bins, largest)
+    values = drift.psi_by_batch(clean, passing, columns, profile.drift.psi_bins)
     return values.select(BATCH, *[_round(f"psi_{c}", f"psi_{c}") for c in columns])
 
 
@@ -493,7 +492,7 @@ def psi_price_shock(spark, sf_dir):
 
 
 def _statistics(df: DataFrame, profile: TableProfile) -> tuple[DataFrame, Staged]:
-    clean, _, passing, _ = _passed(df, profile)
+    clean, _, passing = _passed(df, profile)
     return clean, stage(drift.batch_statistics(clean, passing, profile), "statistics")
 
 
@@ -540,8 +539,8 @@ def column_stats(spark, sf_dir):
 
 @query
 def drift_alerts(spark, sf_dir):
-    clean, _, passing, largest = _passed(_drifting(spark, sf_dir, TREND), TRENDING)
-    record = drift.compute_drift(clean, passing, TRENDING, largest)
+    clean, _, passing = _passed(_drifting(spark, sf_dir, TREND), TRENDING)
+    record = drift.compute_drift(clean, passing, TRENDING)
     return record.select(
         BATCH,
         drift.has_alert(F.col("drift")).alias("has_alert"),
@@ -561,8 +560,8 @@ def previous_batch_threading(spark, sf_dir):
 
 def _history(df: DataFrame, profile: TableProfile) -> DataFrame:
     """Run records without training, stamped, as the history holds them."""
-    clean, verdicts, passing, largest = _passed(df, profile)
-    found = drift.compute_drift(clean, passing, profile, largest)
+    clean, verdicts, passing = _passed(df, profile)
+    found = drift.compute_drift(clean, passing, profile)
     return stage(runs.stamp_runs(runs.run_records(verdicts.df, found)), "runs").df
 
 
@@ -691,12 +690,27 @@ def onehot_nonzeros(spark, sf_dir):
     indices = F.from_json(
         F.get_json_object(F.to_json(F.struct("features")), "$.features.indices"), "array<int>"
     )
-    names = F.array(*[F.lit(n) for n in encoders.feature_names])
-    hot = made.select("_split_key", F.explode(indices).alias("i")).select(
-        F.element_at(names, F.col("i") + 1).alias("feature")
+    hot = made.select(F.explode(indices).alias("position")).groupBy("position").agg(F.count(F.lit(1)).alias("n_rows"))
+    hot = hot.join(encoders.features(), "position")
+    return hot.filter(F.col("feature").startswith("cat__")).select("feature", "n_rows")
+
+
+@query
+def onehot_uncapped(spark, sf_dir):
+    """Positions of all rows' labels where every label has a feature, keys and models among them."""
+    rows = testdata.listings(spark, sf_dir).withColumn("_split_key", F.col("vin_strict"))
+    profile = LISTINGS.but(numeric=("year",), categorical=("vin", "model", "state"), max_categories=None)
+    rows = stage(features.clean_features(rows, profile, keep=("_split_key",)), "feature-rows").df
+    train, _ = features.split(rows, F.col("_split_key"), profile.test_size, profile.seed)
+    encoders = features.fit_preprocessor(train.drop("_split_key"), profile)
+    made = encoders.transform(rows).withColumn("v", F.to_json(F.struct(features.FEATURES)))
+    return made.select(
+        F.col("_split_key").alias("vin_strict"),
+        "vin",
+        "model",
+        F.get_json_object("v", "$.features.size").cast("int").alias("size"),
+        F.get_json_object("v", "$.features.indices").alias("positions"),
     )
-    hot = hot.filter(F.col("feature").startswith("cat__"))
-    return hot.groupBy("feature").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # ------------------------------------------------------------------------- models and metrics

@@ -715,6 +715,17 @@ ORACLES["onehot_nonzeros"] = f"""{_SIDES}
     SELECT feature, count(*) AS n_rows FROM ({_ONE_HOT}) GROUP BY feature
     """
 
+ORACLES["onehot_uncapped"] = f"""{_SIDES},
+    labels AS (
+      SELECT DISTINCT c, CASE c WHEN 0 THEN vin WHEN 1 THEN model ELSE state END AS v
+      FROM sides, (VALUES (0), (1), (2)) AS t(c) WHERE side = 'train'),
+    placed AS (SELECT c, v, row_number() OVER (ORDER BY c, v) AS p FROM labels)
+    SELECT s.vin_strict, s.vin, s.model, (SELECT count(*) + 1 FROM placed)::INTEGER AS size,
+           concat('[0', coalesce(',' || a.p, ''), coalesce(',' || b.p, ''), coalesce(',' || d.p, ''), ']') AS positions
+    FROM sides s LEFT JOIN placed a ON a.c = 0 AND a.v = s.vin LEFT JOIN placed b ON b.c = 1 AND b.v = s.model
+    LEFT JOIN placed d ON d.c = 2 AND d.v = s.state
+    """
+
 # ------------------------------------------------------------------------- models and metrics
 
 _SCORED = f"""{_SIDES},

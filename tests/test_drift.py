@@ -51,7 +51,7 @@ def _psi(expected, actual, bins=10):
 
 def _psi_values(spark, series):
     clean, passing = _clean(spark, [(xs, ["c"] * len(xs)) for xs in series])
-    out = drift.psi_by_batch(clean, passing, ["x"], 10, 10**4).orderBy("_period_start")
+    out = drift.psi_by_batch(clean, passing, ["x"], 10).orderBy("_period_start")
     return [r["psi_x"] for r in out.collect()]
 
 
@@ -137,7 +137,7 @@ def test_alerts_and_first_batch(spark):
     low, high = list(range(100)), list(range(500, 600))
     half = [None if i % 2 else v for i, v in enumerate(high)]
     clean, passing = _clean(spark, [(low, ["a"] * 100), (half, ["b"] * 100)])
-    out = drift.compute_drift(clean, passing, PROFILE, 100).orderBy("_period_start").collect()
+    out = drift.compute_drift(clean, passing, PROFILE).orderBy("_period_start").collect()
     assert out[0]["drift"] is None and out[0]["_previous"] is None
     record = out[1]["drift"]
     assert record["alerts"] == [
@@ -147,7 +147,7 @@ def test_alerts_and_first_batch(spark):
         "stale data: newest d 53d old > 30d",
     ]
     assert out[1]["col_stats"]["x"]["null_rate"] == 0.5
-    flags = drift.compute_drift(clean, passing, PROFILE, 100)
+    flags = drift.compute_drift(clean, passing, PROFILE)
     flags = flags.orderBy("_period_start").select(drift.has_alert(F.col("drift")).alias("a"))
     assert [r["a"] for r in flags.collect()] == [False, True]
 
@@ -156,13 +156,13 @@ def test_identical_fresh_batches_raise_nothing(spark):
     settings = replace(SETTINGS, reference_date="2024-01-10")
     xs, cs = list(range(50)), ["a", "b"] * 25
     clean, passing = _clean(spark, [(xs, cs), (xs, cs)])
-    out = drift.compute_drift(clean, passing, PROFILE.but(drift=settings), 50)
+    out = drift.compute_drift(clean, passing, PROFILE.but(drift=settings))
     assert out.orderBy("_period_start").collect()[1]["drift"]["alerts"] == []
 
 
 def test_an_empty_passing_batch_is_still_the_previous_one(spark):
     clean, passing = _clean(spark, [([1, 2, 3], ["a", "a", "b"])], extra=[-1, 1])
-    out = drift.compute_drift(clean, passing, PROFILE, 3).orderBy("_period_start").collect()
+    out = drift.compute_drift(clean, passing, PROFILE).orderBy("_period_start").collect()
     assert [r["_batch"] for r in out] == ["E-1", "B0", "E1"]
     assert out[1]["drift"]["psi"]["x"] == 0.0
     assert out[1]["drift"]["category_shift"]["c"] == pytest.approx(2 / 3)

@@ -1,4 +1,4 @@
-"""Large and uneven inputs: hot keys, copies, keyless rows, and narrowed percentiles."""
+"""Large and uneven inputs: hot keys, copies, keyless rows, ranks and percentiles."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ import pytest
 from conftest import whole_report
 from pyspark.sql import functions as F
 
-from batchwarden.operators import duplicates, membership, quantiles
+from batchwarden.operators import duplicates, membership, quantiles, ranks
 from batchwarden.operators.batching import single_batch
+from batchwarden.operators.membership import look_up
 from batchwarden.profiles import VEHICLES
 from batchwarden.sources import staging
 
@@ -76,9 +77,7 @@ def test_negative_zero_equals_zero(spark):
 
 
 @pytest.mark.parametrize("kind", ["smooth", "ties", "uneven", "tiny"])
-def test_narrowed_percentiles_are_exact(spark, monkeypatch, kind):
-    monkeypatch.setattr(quantiles, "DIRECT_ROWS", 0)
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 50)
+def test_percentiles_are_exact(spark, kind):
     rng = np.random.default_rng(1)
     big = {
         "smooth": rng.normal(size=4000),
@@ -86,29 +85,49 @@ def test_narrowed_percentiles_are_exact(spark, monkeypatch, kind):
         "uneven": np.where(rng.random(4000) < 0.4, 5.0, rng.exponential(size=4000) ** 4),
         "tiny": rng.normal(size=2),
     }[kind]
-    rows = [("a", float(v)) for v in big] + [("b", float(v)) for v in (3, 1, 2)] + [("b", None)]
-    df = spark.createDataFrame(rows, "g string, v double")
+    rows = [("a", float(v), 1.0) for v in big] + [("b", float(v), None) for v in (3, 1, 2)]
+    rows += [("b", None, None), ("c", None, None)]
+    df = spark.createDataFrame(rows, "g string, v double, w double").repartition(7)
     shares = [i / 10 for i in range(11)]
-    out = quantiles.exact_percentiles(df, ["g"], {"q": F.col("v")}, shares, 10**9)
-    found = {r["g"]: r["q"] for r in out.collect()}
-    assert np.allclose(found["a"], np.percentile(big, np.linspace(0, 100, 11)), rtol=0, atol=1e-12)
-    assert np.allclose(found["b"], np.percentile([1, 2, 3], np.linspace(0, 100, 11)))
-
-
-def test_narrowing_leaves_few_values(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "DIRECT_ROWS", 0)
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 1000)
-    df = spark.range(100_000).select(F.lit(0).alias("g"), F.rand(3).alias("v"))
-    seen = []
-    whole = quantiles.Window.partitionBy
-
-    def spy(*by):
-        seen.append(by)
-        return whole(*by)
-
-    monkeypatch.setattr(quantiles.Window, "partitionBy", spy)
-    out = quantiles.exact_percentiles(df, ["g"], {"q": F.col("v")}, [0.25, 0.5], 10**9).first()["q"]
-    assert seen and abs(out[1] - 0.5) < 0.01 and abs(out[0] - 0.25) < 0.01
+    out = quantiles.exact_percentiles(df, ["g"], {"q": F.col("v"), "ones": F.col("w")}, shares)
+    found = {r["g"]: r for r in out.collect()}
+    assert set(found) == {"a", "b"} and found["b"]["ones"] is None and set(found["a"]["ones"]) == {1.0}
+    assert np.allclose(found["a"]["q"], np.percentile(big, np.linspace(0, 100, 11)), rtol=0, atol=1e-12)
+    assert np.allclose(found["b"]["q"], np.percentile([1, 2, 3], np.linspace(0, 100, 11)))
+
+
+def test_percentiles_of_one_group_use_many_tasks(spark):
+    """Only counts of ranges meet in one task, never values."""
+    df = spark.range(100_000).select((F.col("id") % 1).alias("g"), F.rand(3).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = quantiles.exact_percentiles(df, ["g"], {"q": F.col("v")}, [0.25, 0.5])
+        assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+        found = out.first()["q"]
+        assert quantiles.exact_percentiles(df, [], {"q": F.col("v")}, [0.25, 0.5]).first()["q"] == found
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert abs(found[1] - 0.5) < 0.01 and abs(found[0] - 0.25) < 0.01
+
+
+def test_numbered_rows_follow_the_order(spark):
+    df = spark.range(10_000).select((F.col("id") * 7919 % 10_007).alias("k"), (F.col("id") % 3).alias("g"))
+    rows = ranks.numbered(df.repartition(9), ["g", "k"], "place").df.collect()
+    assert [r["place"] for r in sorted(rows, key=lambda r: (r["g"], r["k"]))] == list(range(10_000))
+
+
+@pytest.mark.parametrize("broadcast_rows", [200_000, 0])
+def test_facts_of_a_hot_key(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(staging, "BROADCAST_ROWS", broadcast_rows)
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
+    rows = rows.unionByName(spark.range(9).select("id", F.lit(None).cast("string").alias("k")))
+    facts = rows.filter("k IS NOT NULL AND (k = 'hot' OR k < '5')").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    facts = staging.stage(facts.withColumn("size", F.length("k")), "facts")
+    out = look_up(rows, facts, ["k"], {"width": "size"}, "known").collect()
+    assert len(out) == 3009
+    for r in out:
+        known = r["k"] is not None and (r["k"] == "hot" or r["k"] < "5")
+        assert r["known"] == known and r["width"] == (len(r["k"]) if known else None)
 
 
 def test_wide_rows_are_not_broadcast(spark, monkeypatch):
