@@ -56,7 +56,7 @@ def _profile(arguments: argparse.Namespace):
 def _read(spark: SparkSession, arguments: argparse.Namespace, profile) -> DataFrame:
     """The typed feed; a CSV feed is parsed once and kept as a staged table."""
     if arguments.input.lower().endswith((".csv", ".csv.gz")):
-        feed = read_csv(spark, arguments.input, profile, multi_line=not arguments.split_lines)
+        feed = read_csv(spark, arguments.input, profile, multi_line=False if arguments.split_lines else None)
         return stage(feed, "feed").df
     raw = normalise_headers(spark.read.parquet(arguments.input), profile.column_map)
     return coerce_types(raw, profile)

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from batchwarden.functions.coerce import to_utc_timestamp
+from batchwarden.functions.coerce import date_format, to_utc_timestamp
 from batchwarden.functions.periods import period_label, period_start
 from batchwarden.profile import TableProfile
 from batchwarden.sources.staging import Staged, stage
@@ -66,6 +66,14 @@ def undated_rows(df: DataFrame, profile: TableProfile) -> DataFrame:
     return df.agg(F.count_if(stamp.isNull()).alias("n_undated"), F.count(F.lit(1)).alias("n_rows"))
 
 
+def date_formats(df: DataFrame, profile: TableProfile) -> DataFrame:
+    """Rows by the rendering of their date; ``missing`` and ``unreadable`` ones are in no batch."""
+    date = F.col(profile.date_column)
+    found = date_format(date, df.schema[profile.date_column].dataType)
+    name = F.when(date.isNull(), F.lit("missing")).otherwise(F.coalesce(found, F.lit("unreadable")))
+    return df.groupBy(name.alias("format")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def single_batch(df: DataFrame, label: str = ALL) -> DataFrame:
     """The whole table as one batch; no row is left out and no minimum size applies."""
     nowhere = F.lit(None).cast("timestamp")

@@ -71,8 +71,7 @@ def copied_rows(batched: DataFrame, columns: list[str]) -> Staged:
     suspects = stage(counts.filter(F.col("n") > 1), "fingerprints")
     if suspects.rows == 0:
         return suspects
-    if suspects.fits:
-        printed = printed.join(suspects.side().drop("n"), [BATCH, FINGERPRINT], "left_semi")
+    printed = mark_members(printed, suspects, [BATCH, FINGERPRINT], "_suspect").filter("_suspect").drop("_suspect")
     exact = printed.groupBy(BATCH, FINGERPRINT, *columns).agg(F.count(F.lit(1)).alias("n"))
     return stage(exact.filter(F.col("n") > 1), "copied-rows")
 
@@ -90,10 +89,8 @@ def find_duplicates(batched: DataFrame, key: str | None) -> Duplicates:
     if counts.rows == 0:
         return Duplicates(key, columns, None, None)
     keys = Staged(counts.df.filter(F.col(key).isNotNull()), counts.rows, counts.bytes)
-    candidates = batched
-    if keys.fits:
-        candidates = mark_members(batched, keys, [BATCH, key], REPEATED_KEY)
-        candidates = candidates.filter(F.col(REPEATED_KEY) | F.col(key).isNull()).drop(REPEATED_KEY)
+    candidates = mark_members(batched, keys, [BATCH, key], REPEATED_KEY)
+    candidates = candidates.filter(F.col(REPEATED_KEY) | F.col(key).isNull()).drop(REPEATED_KEY)
     return Duplicates(key, columns, keys, copied_rows(candidates, columns))
 
 

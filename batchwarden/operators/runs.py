@@ -31,14 +31,18 @@ RUN_COLUMNS = {
     "mae": "double",
     "rmse": "double",
     "r2": "double",
+    "n_undated": "bigint",
 }
 RUN_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in RUN_COLUMNS.items())
 
 
 def run_records(
-    verdicts: DataFrame, drift: DataFrame, metrics: DataFrame | None = None
+    verdicts: DataFrame, drift: DataFrame, metrics: DataFrame | None = None, n_undated: int = 0
 ) -> DataFrame:
-    """One record per batch, without id and time; what a halted batch lacks stays empty."""
+    """One record per batch, without id and time; what a halted batch lacks stays empty.
+
+    ``n_undated`` is how many rows of the feed are in no batch, as they have no readable date.
+    """
     table = verdicts.join(drift.drop(PERIOD), BATCH, "left")
     if metrics is not None:
         table = table.join(metrics.select(BATCH, "mae", "rmse", "r2"), BATCH, "left")
@@ -59,6 +63,7 @@ def run_records(
         "mae",
         "rmse",
         "r2",
+        F.lit(n_undated).cast("bigint").alias("n_undated"),
     )
 
 

@@ -58,7 +58,8 @@ KEYLESS_SHARE = 25
 STRICT = LISTINGS.but(key="vin_strict", max_error_fraction=STRICT_CEILING)
 TRENDING = STRICT.but(null_fraction_max={**LISTINGS.null_fraction_max, "mileage": 0.90})
 DEFECTIVE = LISTINGS.but(max_error_fraction=DEFECT_CEILING)
-SMALL_MODELS = ModelSettings(tree_depth=6, forest_trees=6, forest_depth=5)
+# The forest is cut in queries: 200 trees of depth 16 take longer than a query may (figures in the README).
+SMALL_FOREST = ModelSettings(forest_trees=6, forest_depth=5)
 
 
 def query(function: Query) -> Query:
@@ -201,6 +202,28 @@ def coerce_numeric_timestamp(spark, sf_dir):
     return typed.select("event_id", "value", stamp, "event_type")
 
 
+def _rendered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose dates are written in eight ways, or not at all."""
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    n = F.col("event_id") % 10
+    ways = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy", "MMMM d, yyyy", "yyyy-MM-dd h:mm a", "M/d/yyyy H:mm", "MMM d, yyyy", "yyyyMMdd"]
+    text = F.when(n == 8, F.lit("some day"))
+    for i, way in enumerate(ways):
+        text = text.when(n == i, F.date_format("ts", way))
+    return raw.select("event_id", text.alias("ts"))
+
+
+@query
+def date_renderings(spark, sf_dir):
+    typed = coerce_types(_rendered_events(spark, sf_dir), EVENTS)
+    return typed.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
+@query
+def date_format_counts(spark, sf_dir):
+    return batching.date_formats(_rendered_events(spark, sf_dir), EVENTS)
+
+
 @query
 def header_normalisation(spark, sf_dir):
     raw = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -374,9 +397,12 @@ def check_results(spark, sf_dir):
 def check_samples(spark, sf_dir):
     report = _report(_defective(spark, sf_dir), LISTINGS)
     samples = checks.check_samples(report.flagged, ("vin_strict",))
-    field = F.get_json_object("sample", "$.vin_strict").alias("vin_strict")
+    fields = "vin string, vin_strict string, brand string, model string, condition string, title_status string, state string, year double, mileage double, price double, posting_date timestamp"
+    row = F.from_json("sample", fields)
+    names = [f.split()[0] for f in fields.split(", ")]
+    shown = {c: row[c] for c in names} | {"posting_date": F.date_format(row["posting_date"], "yyyy-MM-dd HH:mm:ss")}
     rank = F.col("rank").cast("int").alias("rank")
-    return samples.select(BATCH, "name", rank, field)
+    return samples.select(BATCH, "name", rank, *[v.alias(c) for c, v in shown.items()])
 
 
 @query
@@ -575,6 +601,7 @@ def _flat_runs(history: DataFrame) -> DataFrame:
         "freshness_days",
         "n_quarantined",
         "halted",
+        "n_undated",
     )
 
 
@@ -717,17 +744,16 @@ def onehot_uncapped(spark, sf_dir):
 
 
 def _two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Held-out predictions of the mean baseline and of a line over mileage."""
+    """Held-out predictions of the mean baseline and of least squares over all features."""
     train, test = _split_rows(spark, sf_dir)
-    profile = LISTINGS.but(numeric=("mileage",), categorical=())
-    columns = ("_split_key", "mileage", "price")
-    train, test = train.select(*columns), test.select(*columns)
-    encoders = features.fit_preprocessor(train, profile)
-    rows = encoders.transform(models.labelled(train, profile), training=True)
-    rows = rows.select(features.LABEL, features.FEATURES)
-    line = models.build_models(SMALL_MODELS, profile.seed)[models.LINEAR].fit(rows)
+    encoders = features.fit_preprocessor(train, LISTINGS)
+    entries = stage(encoders.encode(models.labelled(train, LISTINGS), training=True), "entries").df
+    n_features = encoders.n_features
+    rows = entries.select(features.LABEL, features.vector(n_features).alias(features.FEATURES))
+    sums = models.products(entries, []).collect()  # pairs of features
+    line = models.fit_linear(rows, sums, n_features)
     fitted = {metrics.BASELINE: models.mean_model(rows), models.LINEAR: line}
-    return models.predict_all(fitted, encoders.transform(models.labelled(test, profile)))
+    return models.predict_all(fitted, encoders.transform(models.labelled(test, LISTINGS)))
 
 
 _METRICS = ("mae", "rmse", "r2", "mape")
@@ -765,7 +791,7 @@ def winner_per_batch(spark, sf_dir):
 @query
 def model_comparison(spark, sf_dir):
     """All four models on one batch of listings, with a small forest."""
-    profile = LISTINGS.but(models=SMALL_MODELS)
+    profile = LISTINGS.but(models=SMALL_FOREST)
     rows = batching.single_batch(_listings(spark, sf_dir).filter(F.col("price") >= 1))
     scored, _ = models.train_and_score(rows, profile)
     return scored.select("model", *[F.round(m, 4).alias(m) for m in _METRICS])
@@ -811,7 +837,7 @@ def view_freshness(spark, sf_dir):
 
 @query
 def view_headline(spark, sf_dir):
-    return views.headline(_event_history(spark, sf_dir)).drop("latest_mae")
+    return views.headline(_event_history(spark, sf_dir))
 
 
 @query
@@ -828,7 +854,7 @@ def view_quarantine_count(spark, sf_dir):
 @query
 def view_models(spark, sf_dir):
     """Winning model's errors of one yearly backfill with a small forest."""
-    profile = LISTINGS.but(freq="Y", models=SMALL_MODELS)
+    profile = LISTINGS.but(freq="Y", models=SMALL_FOREST)
     result = run_batches(_listings(spark, sf_dir), profile, _store(spark))
     frame = views.model_frame(result.runs)
     return frame.select("batch_label", *[F.round(m, 4).alias(m) for m in ("mae", "rmse", "r2")])

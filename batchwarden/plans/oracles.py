@@ -432,6 +432,16 @@ ORACLES["csv_scan_mapped"] = f"""
     SELECT event_id, value, ts, concat(event_type, ',', chr(10), '"x"') AS event_type
     FROM ({_TYPED})
     """
+_PRECISION = "CASE WHEN event_id % 10 = 0 THEN 'second' WHEN event_id % 10 IN (4, 5) THEN 'minute' ELSE 'day' END"
+ORACLES["date_renderings"] = f"""
+    SELECT event_id, CASE WHEN event_id % 10 < 8 THEN strftime(date_trunc({_PRECISION}, ts), '%Y-%m-%d %H:%M:%S') END AS ts
+    FROM events
+    """
+ORACLES["date_format_counts"] = """
+    SELECT ['iso', 'year_first', 'month_first', 'long_month', 'half_day', 'month_first_minutes', 'short_month', 'digits',
+            'unreadable', 'missing'][event_id % 10 + 1] AS format, count(*) AS n_rows
+    FROM events GROUP BY ALL
+    """
 ORACLES["header_normalisation"] = """
     SELECT p_partkey AS part, p_brand AS brand, p_retailprice AS mileage FROM part
     """
@@ -502,9 +512,9 @@ ORACLES["check_results"] = f"""{_bad()}
     SELECT _batch, position, name, passed, severity, n_violations, n_rows, detail FROM results
     """
 ORACLES["check_samples"] = f"""{_bad()}
-    SELECT _batch, name, rank, vin_strict FROM (
-      SELECT _batch, name, vin_strict,
-             row_number() OVER (PARTITION BY _batch, name ORDER BY vin_strict NULLS FIRST,
+    SELECT _batch, name, rank, vin, vin_strict, brand, model, condition, title_status, state, year::DOUBLE AS year,
+           mileage, price, strftime(posting_date, '%Y-%m-%d %H:%M:%S') AS posting_date FROM (
+      SELECT *, row_number() OVER (PARTITION BY _batch, name ORDER BY vin_strict NULLS FIRST,
                {', '.join(f'{c} NULLS FIRST' for c in LISTING_COLUMNS)})::INTEGER AS rank
       FROM (SELECT *, unnest(string_split(flags, ',')) AS name FROM flagged WHERE flags <> ''))
     WHERE rank <= 5
@@ -639,7 +649,7 @@ ORACLES["previous_batch_threading"] = f"""{_listings(catalog.STRICT)}
 _RUNS = """
     SELECT v._batch AS batch_label, strftime(v._start, '%Y-%m-%d') AS period_start, v.n_rows,
            v.dq_pass_rate, v.n_error_checks, coalesce(s.freshness_days, 0.0) AS freshness_days,
-           v.n_quarantined, v.halted
+           v.n_quarantined, v.halted, 0::BIGINT AS n_undated
     FROM verdicts v LEFT JOIN stats s USING (_batch)
     """
 ORACLES["run_history"] = _events() + drift_ctes(EVENTS) + _RUNS
@@ -728,14 +738,48 @@ ORACLES["onehot_uncapped"] = f"""{_SIDES},
 
 # ------------------------------------------------------------------------- models and metrics
 
-_SCORED = f"""{_SIDES},
-    line AS (SELECT avg(price) AS mean, regr_slope(price, mileage) AS b,
-                    regr_intercept(price, mileage) AS a FROM sides WHERE side = 'train'),
+# Least squares over scaled numbers and one label's indicator less than each column has, by normal
+# equations solved with Gauss-Jordan steps: one step per unknown, each over all cells.
+_DUMMIES = " UNION ALL ".join(
+    f"SELECT s.id, d.j, 1.0 AS v FROM rows s JOIN dummies d ON d.\"column\" = '{c}' "
+    f"AND d.value = coalesce(s.{c}, '__missing__')"
+    for c in LISTINGS.categorical
+)
+_SCORED = f"""{_SIDES.replace('WITH sides', 'WITH RECURSIVE sides')},
+    rows AS MATERIALIZED (SELECT *, row_number() OVER () AS id FROM sides),
+    own AS ({ORACLES["capped_categories"].removeprefix(_SIDES)}),
+    dummies AS (
+      SELECT "column", value, 3 + row_number() OVER (ORDER BY "column", value) AS j
+      FROM (SELECT *, max(value) OVER (PARTITION BY "column") AS last FROM own) WHERE capped OR value <> last),
+    scale AS (SELECT avg(year) AS ay, stddev_pop(year) AS sy, avg(mileage) AS am, stddev_pop(mileage) AS sm,
+                     avg(price) AS mean FROM sides WHERE side = 'train'),
+    x AS (
+      SELECT id, 1 AS j, 1.0::DOUBLE AS v FROM rows
+      UNION ALL SELECT id, 2, (year - ay) / sy FROM rows, scale
+      UNION ALL SELECT id, 3, (mileage - am) / sm FROM rows, scale
+      UNION ALL {_DUMMIES}),
+    learned AS (SELECT x.*, price AS y FROM x JOIN rows USING (id) WHERE side = 'train'),
+    unknowns AS (SELECT count(*) + 3 AS n FROM dummies),
+    found AS (
+      SELECT a.j AS i, b.j, sum(a.v * b.v) AS v FROM learned a JOIN learned b USING (id) GROUP BY ALL
+      UNION ALL SELECT j, n + 1, sum(v * y) FROM learned, unknowns GROUP BY ALL),
+    cells AS (
+      SELECT 0 AS k, i, j, coalesce(found.v, 0) AS v
+      FROM (SELECT unnest(range(1, n + 1)) AS i FROM unknowns) CROSS JOIN (SELECT unnest(range(1, n + 2)) AS j FROM unknowns)
+      LEFT JOIN found USING (i, j)),
+    solved(k, i, j, v) AS (
+      SELECT * FROM cells
+      UNION ALL
+      SELECT a.k + 1, a.i, a.j, CASE WHEN a.i = a.k + 1 THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END
+      FROM solved a JOIN solved p ON p.i = a.k + 1 AND p.j = a.k + 1 JOIN solved r ON r.i = a.k + 1 AND r.j = a.j
+      JOIN solved c ON c.j = a.k + 1 AND c.i = a.i WHERE a.k < (SELECT n FROM unknowns)),
+    coefficients AS (SELECT i AS j, v AS b FROM solved, unknowns WHERE k = n AND solved.j = n + 1),
     guesses AS (
       SELECT 'mean_baseline' AS model, 0 AS ord, price AS y, mean AS p
-      FROM sides, line WHERE side = 'test'
+      FROM sides, scale WHERE side = 'test'
       UNION ALL
-      SELECT 'linear_regression', 1, price, a + b * mileage FROM sides, line WHERE side = 'test'),
+      SELECT 'linear_regression', 1, min(price), sum(x.v * b) FROM rows JOIN x USING (id) JOIN coefficients USING (j)
+      WHERE side = 'test' GROUP BY id),
     scored AS (
       SELECT model, ord, avg(abs(y - p)) AS mae, sqrt(avg((y - p) ** 2)) AS rmse,
              1 - avg((y - p) ** 2) / var_pop(y) AS r2,
@@ -799,7 +843,7 @@ ORACLES["view_freshness"] = f"""{_events()} {drift_ctes(EVENTS)}
     """
 ORACLES["view_headline"] = f"""{_events()}
     SELECT count(*) AS n_runs, arg_max(dq_pass_rate, _start) AS latest_dq_pass_rate,
-           arg_max(n_quarantined, _start) AS latest_n_quarantined FROM verdicts
+           NULL::DOUBLE AS latest_mae, arg_max(n_quarantined, _start) AS latest_n_quarantined FROM verdicts
     """
 ORACLES["view_report"] = f"""{_listings()}
     SELECT position, name, passed, severity, n_violations, detail FROM results

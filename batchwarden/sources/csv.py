@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -35,26 +36,44 @@ def coerce_types(
     return df.select(*columns)
 
 
+def _texts(spark: SparkSession, files: Sequence[str], breaks: bool) -> DataFrame:
+    reader = spark.read.option("header", True).option("multiLine", breaks).option("escape", '"')
+    return reader.option("mode", "PERMISSIVE").csv(list(files))
+
+
+def _files_by_breaks(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The files that may hold line breaks inside quotes, and those that certainly hold none.
+
+    Up to a line break inside quotes the number of quotes is odd, so some line before it has an odd
+    number itself. One row per file comes back.
+    """
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
+    found = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.bool_or(quotes % 2 == 1).alias("odd")).collect()
+    files = [(unquote(r["file"]), r["odd"]) for r in found]
+    broken, whole = [f for f, odd in files if odd], [f for f, odd in files if not odd]
+    return (broken, whole) if files else ([], [path])
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     profile: TableProfile,
     column_map: Mapping[str, str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     timestamp_formats: Sequence[str] = (),
 ) -> DataFrame:
     """Scan a CSV file as text, then normalise its headers and types; no row is dropped.
 
-    Quoted line breaks need ``multi_line``, which reads each file in one task.  Feeds without them
-    should pass ``multi_line=False`` so that large files are split.
+    Only files with quoted line breaks are read one file per task, all others are split.  Which ones
+    have them is found by a first pass over the lines, unless ``multi_line`` says so for all files.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    if multi_line is None:
+        broken, whole = _files_by_breaks(spark, path)
+    else:
+        broken, whole = ([path], []) if multi_line else ([], [path])
+    parts = [_texts(spark, files, breaks) for files, breaks in ((broken, True), (whole, False)) if files]
+    raw = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     raw = raw.select(*[missing_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
     mapping = profile.column_map if column_map is None else column_map
     return coerce_types(normalise_headers(raw, mapping), profile, timestamp_formats)

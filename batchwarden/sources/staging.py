@@ -72,12 +72,13 @@ def counted_write(df: DataFrame, path: str, mode: str, partition_by: tuple[str,
     return int(seen.get["rows"])
 
 
-def stage(df: DataFrame, label: str) -> Staged:
+def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Staged:
     """Write ``df`` under the shared folder and return the written table."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/batchwarden/{label}-{uuid.uuid4().hex}"
     seen = Observation()
     size = F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
-    df.observe(seen, *size).write.mode("error").parquet(path)
+    writer = df.observe(seen, *size).write.mode("error")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return Staged(spark.read.schema(df.schema).parquet(path), int(seen.get["rows"]), int(seen.get["bytes"]))
 

@@ -10,6 +10,8 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from batchwarden.operators import inject
+from batchwarden.plans.catalog import QUERIES
+from batchwarden.plans.oracles import ORACLES
 from batchwarden.plans.pipeline import run_batches, strict_load
 from batchwarden.profile import ModelSettings
 from batchwarden.profiles import EVENTS, LISTINGS
@@ -113,7 +115,8 @@ def test_entry_contract(spark):
     rows = entry.entry(spark).collect()
     assert {r["_batch"] for r in rows} == {"2024-W01", "2024-W02", "2024-W03", "2024-W04"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"model_comparison", "view_models"}
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == {"model_comparison", "view_models"}
 
 
 def test_columns_of_the_data_are_all_kept(spark, store):
