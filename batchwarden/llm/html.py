@@ -165,11 +165,11 @@ def _nearest(found: list[Block], labels: list[bool | None], step: int) -> list[t
 
 
 def main_text(html: str | None) -> str:
-    """The main text of a page: content blocks joined by line breaks; empty if there is none."""
+    """The main text of a page: content blocks joined by two line breaks each; empty if there is none."""
     found = blocks(html or "")
     decide(found)
     inherit(found)
-    return "\n".join(b.text for b in found if b.label)
+    return "\n\n".join(b.text for b in found if b.label)
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

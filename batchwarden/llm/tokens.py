@@ -41,8 +41,10 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        # The names of special tokens are ordinary text inside a document.
-        self.tokenizer.encode_special_tokens = True
+        # Texts that hold the name of a special token are encoded in one call: the name is a token of its
+        # own there, and cuts what stands around it.
+        names = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.named = re.compile("|".join(map(re.escape, names))) if names else None
         self.memo: dict[str, bytes] = {}
         spaced = len(self.tokenizer.encode(" ", add_special_tokens=False).ids) > 0
         self.pieces = PIECES if spaced else WORDS
@@ -89,10 +91,13 @@ class Encoder:
         """The ids of each text as unsigned 32-bit integers."""
         if len(self.memo) > MEMO_PIECES:
             self.memo.clear()
-        split = [self.pieces.findall(text) for text in texts]
+        whole = {i: text for i, text in enumerate(texts) if self.named and self.named.search(text)}
+        split = [[] if i in whole else self.pieces.findall(text) for i, text in enumerate(texts)]
         new = list(set().union(*split).difference(self.memo))
         self._learn(new)
         ids = [np.frombuffer(b"".join(map(self.memo.__getitem__, pieces)), "<u4") for pieces in split]
+        for i, text in whole.items():
+            ids[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         for piece in new:
             if len(piece) > MEMO_LENGTH:
                 del self.memo[piece]

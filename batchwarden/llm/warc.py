@@ -26,7 +26,7 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from batchwarden.llm.common import attach, stage, table
 from batchwarden.session import shared_folder
@@ -115,23 +115,24 @@ class Archive:
         return [row.k for row in rows]
 
 
+def _payload_key() -> Column:
+    return F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")).alias("digest")
+
+
 def decisions(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(``page_id``, ``refers_to``): the first page of equal payloads, null for that page itself.
+    """(``page_id``, ``digest``, ``refers_to``): the first page of equal payloads, for all but that page.
+
+    The digest belongs to the decision, as rows of one page_id may differ in their payload.
 
     Only digests and counts are grouped, and combined before they are shuffled; a payload that a third
     of all pages share is attached to them by a broadcast of its one row.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data = [(x.as_py() or "").encode("utf-8", "replace") for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(digest, data)), pa.array([len(x) for x in data], pa.int64())], ["page_id", "digest", "size"])
-
-    seen = stage(pages.select("page_id", "html").mapInArrow(run, "page_id bigint, digest string, size bigint"), "digests")
+    seen = pages.select("page_id", _payload_key(), F.octet_length(F.coalesce("html", F.lit(""))).alias("size"))
+    seen = stage(seen, "digests")
     able = seen.filter(F.col("page_id").isNotNull() & (F.col("size") >= min_bytes))
     firsts = able.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     placed = attach(able.select("page_id", "digest"), stage(firsts.filter("n > 1"), "firsts"), "digest", "n")
-    return placed.filter("page_id != first").select("page_id", F.col("first").alias("refers_to")).distinct()
+    return placed.filter("page_id != first").select("page_id", "digest", F.col("first").alias("refers_to")).distinct()
 
 
 def write(pages: DataFrame, min_bytes: int = 0) -> Archive:
@@ -144,7 +145,8 @@ def write(pages: DataFrame, min_bytes: int = 0) -> Archive:
     spark = pages.sparkSession
     archive = Archive(spark, f"{shared_folder(spark)}/batchwarden-llm/warc-{uuid.uuid4().hex}")
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html")
-    joined = rows.join(decisions(rows, min_bytes), "page_id", "left")
+    # Rows without page_id meet no decision; the digest spreads them.
+    joined = rows.withColumn("digest", _payload_key()).join(decisions(rows, min_bytes), ["page_id", "digest"], "left")
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0

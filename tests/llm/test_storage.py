@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import gzip
 import heapq
 import random
@@ -25,16 +26,20 @@ def docs(spark):
     return spark.createDataFrame([*rows, rows[3], (None, "no id", "x")], "doc_id bigint, text string, ids string")
 
 
+@functools.cache
+def plain(name):
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
 def plain_ids(name, text):
-    coder = Tokenizer.from_file(public_tokenizers.path(name))
-    coder.encode_special_tokens = True
-    return coder.encode(text or "", add_special_tokens=False).ids
+    return plain(name).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_memo_changes_no_id(name):
     rng = random.Random(4)
     texts = [t or "" for t in ODD] + ["".join(rng.choice(" \n\t\x00\x1c\xa0aZé'.s1́日") for _ in range(rng.randint(1, 30))) for _ in range(1500)]
+    texts += ["<|endoftext|>", "end  <|endoftext|> of\n<|startoftext|>text", "a<|endoftext|><|endoftext|> b", "<|END|> <|endoftext|"]
     coder = tokens.Encoder(public_tokenizers.path(name))
     assert [x.tolist() for x in coder.encode(texts)] == [plain_ids(name, t) for t in texts]
     assert [x.tolist() for x in coder.encode(texts[:20])] == [plain_ids(name, t) for t in texts[:20]]
@@ -150,6 +155,15 @@ def test_archive_round_trip(spark):
     assert warc.read(empty, warc.lookup(empty, pages.select("url"))).count() == 0
 
 
+def test_rows_of_one_page_with_different_payloads_are_all_kept(spark):
+    rows = [(1, "u", "a"), (2, "u", "a"), (2, "u", "bbb"), (None, "u", "a"), (3, "v", "bbb")]
+    archive = warc.write(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    urls = spark.createDataFrame([("u",), ("v",)], "url string")
+    got = [(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read(archive, warc.lookup(archive, urls)).collect()]
+    want = [(1, 1, "response", None), (2, 1, "revisit", 1), (2, 3, "response", None), (None, 1, "response", None), (3, 3, "revisit", 2)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_small_payloads_are_all_responses(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id bigint, url string, html string")
     archive = warc.write(pages, min_bytes=5)

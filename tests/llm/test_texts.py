@@ -209,9 +209,9 @@ PAGE = f"""<html><head><title>T</title><style>p{{}}</style></head><body><header>
 
 def test_html_rules():
     long = LONG.strip()
-    assert html.main_text(PAGE) == "\n".join(["Head & line", long, "Short.", f"{long} <b> end"])
+    assert html.main_text(PAGE) == "\n\n".join(["Head & line", long, "Short.", f"{long} <b> end"])
     plain = f"<div><div class=menu><a href=1>x</a></div><div><p>{LONG}</p><p>Short one.</p></div><div class='ad'>Buy</div></div>"
-    assert html.main_text(plain) == f"{long}\nShort one."
+    assert html.main_text(plain) == f"{long}\n\nShort one."
     assert [html.main_text(x) for x in (None, "", "<p", "<<>>", "<script>x")] == ["", "", "", "", ""]
     assert len(html.main_text("<article><p>" + LONG * 3000)) > 300_000
 
