@@ -10,8 +10,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from batchwarden.functions import coerce
 from batchwarden.functions.coerce import is_missing, to_number, to_utc_timestamp
 from batchwarden.profiles import VEHICLES
+from batchwarden.sources import csv
 from batchwarden.sources.csv import coerce_types, normalise_headers, read_csv
 
 
@@ -117,3 +119,43 @@ def test_headers_are_stripped_lowered_and_renamed(spark):
         "mileage",
         "state",
     ]
+
+
+@pytest.mark.parametrize(
+    "text, want, name",
+    [
+        ("2021-05-04", "2021-05-04 00:00:00", "iso"),
+        ("2021-05-04T12:31:05+02:00", "2021-05-04 10:31:05", "iso"),
+        ("05/04/2021", "2021-05-04 00:00:00", "month_first"),
+        ("5/4/2021 7:05", "2021-05-04 07:05:00", "month_first_minutes"),
+        ("May 4, 2021", "2021-05-04 00:00:00", "short_month"),
+        ("september 14, 2021", "2021-09-14 00:00:00", "long_month"),
+        ("2021/05/04", "2021-05-04 00:00:00", "year_first"),
+        ("2021-05-04 12:31 PM", "2021-05-04 12:31:00", "half_day"),
+        ("2021-05-04 12:31 am", "2021-05-04 00:31:00", "half_day"),
+        ("4 Dec 2021", "2021-12-04 00:00:00", "day_month"),
+        ("20210504", "2021-05-04 00:00:00", "digits"),
+        ("13/13/2021", None, None),
+        ("Mayday 4, 2021", None, None),
+        ("soon", None, None),
+    ],
+)
+def test_renderings_of_a_date(spark, text, want, name):
+    df = spark.createDataFrame([(f" {text} ",)], "ts string")
+    kind = df.schema["ts"].dataType
+    stamp = F.date_format(coerce.to_utc_timestamp(F.col("ts"), kind), "yyyy-MM-dd HH:mm:ss")
+    row = df.select(stamp.alias("stamp"), coerce.date_format(F.col("ts"), kind).alias("name")).first()
+    assert (row["stamp"], row["name"]) == (want, name)
+
+
+def test_only_files_with_quoted_breaks_are_read_whole(spark, tmp_path):
+    (tmp_path / "a file.csv").write_text('Make,price,vin\nskoda,"1",V1\n"se""at",2,V2\n')
+    (tmp_path / "b.csv").write_text('Make,price,vin\n"two\nlines",3,V3\n')
+    broken, whole = csv._files_by_breaks(spark, str(tmp_path))
+    assert [f.rsplit("/", 1)[1] for f in broken] == ["b.csv"] and [f.rsplit("/", 1)[1] for f in whole] == ["a file.csv"]
+    rows = read_csv(spark, str(tmp_path), VEHICLES, {"make": "brand"}).collect()
+    assert {(r["brand"], r["price"], r["vin"]) for r in rows} == {("skoda", 1.0, "V1"), ('se"at', 2.0, "V2"), ("two\nlines", 3.0, "V3")}
+    empty = tmp_path / "none"
+    empty.mkdir()
+    (empty / "c.csv").write_text("make,price\n")
+    assert read_csv(spark, str(empty), VEHICLES).count() == 0
