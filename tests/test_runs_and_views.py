@@ -30,7 +30,7 @@ def _history(spark):
         day = datetime(2023, 4 + k, 1)
         rows.append(
             (f"run-{k}", day, LABELS[k], day, 600 + k, f["rate"], k, f["days"], f["held"], k == 2, stats,
-             f["drift"], f["mae"], f["mae"], 0.5 if f["mae"] else None)
+             f["drift"], f["mae"], f["mae"], 0.5 if f["mae"] else None, 3 * k)
         )
     return spark.createDataFrame(rows, runs.RUN_SCHEMA)
 
