@@ -1,10 +1,14 @@
 """Personal data: patterns, and terms that give away the people behind them.
 
-Patterns find the protected entities. Words near an entity are then weighed by how much information
-they carry about it: with document counts c over N documents, the pointwise mutual information
-log2(N c(term, entity) / (c(term) c(entity))) as a share of the entity's own information
-log2(N / c(entity)). A share of 1 means that the word never occurs without the entity. From
-GENERALISE on a term is replaced by a placeholder, from REMOVE on it is taken out.
+Patterns find the protected entities. Every run of letters of a text is then weighed by how much
+information it carries about the entities that texts hold: each value on its own, and all values of
+a kind pooled, as most values occur once. With c the number of texts out of N, the pointwise mutual
+information log2(N c(term, entity) / (c(term) c(entity))) is taken as a share of the entity's own
+information log2(N / c(entity)), so 1 means that the term never occurs without the entity. Estimates
+from few texts are discounted by c / (c + 1) for the common texts and for the rarer of term and entity;
+no count is required, but what two texts share cannot reach the threshold. From GENERALISE on a term
+gives way to a broader one, a name or a term, from REMOVE on it is taken out: each of its occurrences
+in every text that holds the entity.
 
 Everything is built-in expressions; counts cover all documents and combine before each shuffle.
 """
@@ -13,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from batchwarden.llm.common import WORD, fresh, stage, table
+from batchwarden.llm.common import attach, fresh, stage, table
 
 # Fixed patterns. Possessive repetition never gives back what it took, which none of these needs to,
 # and keeps long texts from exhausting the stack; an e-mail can only begin where its run of letters
@@ -28,8 +32,7 @@ PATTERNS = {
 KINDS = tuple(PATTERNS)
 # No text without one of these holds any match.
 HINT = r"@|\+[0-9]|[0-9]\.[0-9]|[0-9](?:[\x20-]?[0-9]){15}"
-CONTEXT = 64  # characters on either side of an entity whose whole words are weighed
-SUPPORT = 3  # different contexts that a term and an entity must share
+TERM = r"\p{L}{3,}"
 GENERALISE = 0.5
 REMOVE = 0.75
 STEP = 64
@@ -123,41 +126,22 @@ def base_spans(text: Column) -> Column:
     return F.when(text.rlike(HINT), F.concat(*map(of, KINDS))).otherwise(F.array().cast(KIND_SPAN))
 
 
-def _context(text: Column, span: Column) -> Column:
-    """Terms around a span: whole words with a run of three letters, lower-cased, and where they are."""
-    size = F.length(text)
-    low = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    high = F.least(span["end"] + CONTEXT, size.cast("bigint"))
-
-    def terms(piece: Column, offset: Column, cut_left: Column, cut_right: Column) -> Column:
-        whole = F.filter(
-            matches(piece, WORD),
-            lambda m: ~(cut_left & (m["start"] == 0)) & ~(cut_right & (m["end"] == F.length(piece))) & ~m["value"].rlike("[@0-9]"),
-        )
-
-        def term(m: Column) -> Column:
-            core = F.regexp_extract(m["value"], r"\p{L}{3,64}", 0)
-            start = offset + m["start"] + F.instr(m["value"], core) - 1
-            return F.struct(F.lower(core).alias("term"), start.alias("start"), (start + F.length(core)).alias("end"))
-
-        return F.filter(F.transform(whole, term), lambda t: t["term"] != "")
-
-    left = F.substring(text, (low + 1).cast("int"), (span["start"] - low).cast("int"))
-    right = F.substring(text, (span["end"] + 1).cast("int"), (high - span["end"]).cast("int"))
-    no = F.lit(False)
-    return F.concat(terms(left, low, low > 0, no), terms(right, span["end"], no, high < size))
+def _terms(text: Column) -> Column:
+    """The different lower-cased runs of letters of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(f"({TERM})"), F.lit(0)), F.lower))
 
 
 def found(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per text: ``key``, ``doc_id``, ``base`` spans, and ``near`` terms of each entity. Staged."""
+    """One row per text: ``key``, ``doc_id``, ``base`` spans, and ``rest``. Staged.
+
+    ``rest`` is the text with its entities blanked, at its full length; null where nothing hints at any.
+    """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = df.select(F.col(f"`{doc_id}`").alias("doc_id"), body.alias("text"), text_key(df, doc_id, text).alias("key"))
     rows = rows.withColumn("base", base_spans(F.col("text")))
-    near = F.transform(
-        "base",
-        lambda s: F.struct(F.concat_ws(":", s["kind"], F.lower(s["value"])).alias("entity"), _context(F.col("text"), s).alias("terms")),
-    )
-    return stage(rows.select("key", "doc_id", "base", near.alias("near")), "entities")
+    blank = replaced(F.col("text"), by_start("base"), lambda a, s: F.repeat(F.lit(" "), (s["end"] - F.greatest(a["at"], s["start"])).cast("int")))
+    rest = F.when(F.size("base") > 0, blank).when(F.col("text").rlike(HINT), F.col("text"))
+    return stage(rows.select("key", "doc_id", "base", rest.alias("rest")), "entities")
 
 
 def text_key(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Column:
@@ -166,73 +150,117 @@ def text_key(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Colum
     return F.concat_ws(":", F.col(f"`{doc_id}`").cast("string"), F.hex(F.xxhash64(body)))
 
 
-def disclosing(df: DataFrame, entities: DataFrame, text: str = "text") -> DataFrame:
-    """(``entity``, ``term``, ``share``): the terms that exceed the lower disclosure threshold.
+def holdings(entities: DataFrame) -> DataFrame:
+    """(``key``, ``copy``: digest of the text, ``entity``): the values and kinds that each text holds. Staged."""
+    names = F.flatten(F.transform("base", lambda s: F.array(s["kind"], F.concat_ws(":", s["kind"], F.lower(s["value"])))))
+    told = F.xxhash64("rest", F.transform("base", lambda s: s["value"])).alias("copy")
+    held = entities.filter("size(base) > 0").select("key", told, F.explode(F.array_distinct(names)).alias("entity"))
+    return stage(held.distinct(), "holdings")
+
+
+def disclosing(df: DataFrame, entities: DataFrame, held: DataFrame, text: str = "text") -> DataFrame:
+    """(``entity``, ``term``, ``share``): the terms that exceed the lower disclosure threshold. Staged.
 
-    Copies of a passage are one context, so repetition alone makes no term significant.
+    Of equal texts that may hold entities one counts, so repetition alone makes no term significant.
     """
-    each = entities.select("key", F.explode("near").alias("n")).select("key", "n.entity", "n.terms")
-    context = F.xxhash64(F.transform("terms", lambda t: t["term"]))
-    seen = each.select("key", "entity", context.alias("context"), F.explode("terms").alias("t")).select("key", "entity", "context", "t.term")
-    # Counts of distinct documents and contexts, in two aggregations that need no set per pair.
-    by_key = seen.groupBy("entity", "term", "key").agg(F.lit(1).alias("one"))
-    by_context = seen.groupBy("entity", "term", "context").agg(F.lit(1).alias("one"))
-    support = by_context.groupBy("entity", "term").agg(F.count("one").alias("support")).filter(F.col("support") >= SUPPORT)
-    together = by_key.groupBy("entity", "term").agg(F.count("one").alias("c_both"))
-    pairs = stage(support.join(together, ["entity", "term"]), "pairs")
-    terms = stage(pairs.select("term").distinct(), "terms")
-    words = df.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(r"(\p{L}{3,})"), F.lit(0)))).alias("term"))
+    spoken = entities.filter("rest IS NOT NULL").select("key", F.xxhash64("rest", F.transform("base", lambda s: s["value"])).alias("copy"), "rest")
+    once = stage(spoken.groupBy("copy").agg(F.min("key").alias("key")), "once")
+    holders = held.join(once, ["copy", "key"], "left_semi").groupBy("entity").agg(F.count(F.lit(1)).alias("c_entity"))
+    # What fewer texts hold stays below the threshold, whatever the term.
+    holders = stage(holders.filter(discount(F.col("c_entity"), F.col("c_entity")) >= GENERALISE), "holders")
+    terms = stage(spoken.join(once, ["copy", "key"], "left_semi").groupBy("copy").agg(F.first("rest").alias("rest")).select("copy", F.explode(_terms(F.col("rest"))).alias("term")), "terms")
+    strong = held.join(once, ["copy", "key"], "left_semi").select("copy", "entity").distinct().join(holders.select("entity"), "entity")
+    pairs = terms.join(strong, "copy").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c_both"))
+    # A single common text is discounted to less than half.
+    pairs = stage(pairs.filter(F.col("c_both") / (F.col("c_both") + 1) > GENERALISE), "pairs")
+    plain = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    words = df.filter(~plain.rlike(HINT)).select(F.explode(_terms(plain)).alias("term")).unionByName(terms.select("term"))
     # Counted first, so what meets the candidates is one row per word and not one per document. An
     # inner join stays above the count; a semi-join would be moved below it.
-    counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("c_term")).join(terms, "term")
-    holders = each.groupBy("entity", "key").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("one").alias("c_entity"))
-    total = entities.count()
-    weighed = pairs.join(counts, "term").join(holders, "entity").select("entity", "term", share(F.lit(total), "c_both", "c_term", "c_entity").alias("share"))
+    wanted = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(words.groupBy("term").agg(F.count(F.lit(1)).alias("c_term")).join(wanted, "term"), "counts")
+    total = df.filter(~plain.rlike(HINT)).count() + once.count()
+    weighed = attach(pairs, counts, "term", "n").join(holders, "entity")
+    weighed = weighed.select("entity", "term", share(F.lit(total), "c_both", "c_term", "c_entity").alias("share"))
     return stage(weighed.filter(F.col("share") >= GENERALISE), "disclosing")
 
 
+def discount(both: Column, least: Column) -> Column:
+    """How far an estimate from so many common texts, and texts of the rarer side, is believed."""
+    return both / (both + 1) * least / (least + 1)
+
+
 def share(total: Column, both: str, term: str, entity: str) -> Column:
-    """Mutual information of term and entity as a share of the entity's information; 0 if it has none."""
+    """Discounted mutual information of term and entity as a share of the entity's information; 0 if it has none."""
     n = total.cast("double")
     own = F.log2(n / F.col(entity))
-    return F.when(own > 0, F.log2(n * F.least(F.col(both), F.col(term)) / (F.col(term) * F.col(entity))) / own).otherwise(0.0)
+    told = F.log2(n * F.least(F.col(both), F.col(term)) / (F.col(term) * F.col(entity))) / own
+    return F.when(own > 0, told * discount(F.col(both), F.least(F.col(term), F.col(entity)))).otherwise(0.0)
 
 
 def all_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(``key``, ``doc_id``, ``base``, ``terms``) per row: base spans and those of disclosing terms.
 
     Spans are (kind, start, end, value) in code points, end exclusive; ``terms`` have kind ``term`` and
-    as value the action, ``generalise`` or ``remove``. A null or empty text has none. Repeated rows
+    as value ``remove`` or what they are generalised to, ``name`` or ``term``. A null or empty text has none. Repeated rows
     come out repeated. Other columns are not read.
     """
     entities = found(df, doc_id, text)
-    gone = disclosing(df, entities, text)
-    near = entities.select("key", F.explode("near").alias("n")).select("key", "n.entity", F.explode("n.terms").alias("t"))
-    hits = near.select("key", "entity", "t.term", "t.start", "t.end").join(gone, ["entity", "term"])
-    worst = hits.groupBy("key", "start", "end").agg(F.max("share").alias("share"))
-    action = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise")
-    span = F.struct(F.lit("term").alias("kind"), "start", "end", action.alias("value"))
-    per_text = worst.select("key", span.alias("span")).groupBy("key").agg(F.sort_array(F.collect_list("span")).alias("terms"))
-    return entities.drop("near").join(per_text, "key", "left").withColumn("terms", F.coalesce("terms", F.array().cast(KIND_SPAN)))
+    held = holdings(entities)
+    gone = disclosing(df, entities, held, text)
+    none = F.array().cast(KIND_SPAN)
+    spoken = entities.filter("size(base) > 0").select("key", F.explode(_terms(F.col("rest"))).alias("term")).distinct()
+    pair = F.concat_ws("\n", "entity", "term").alias("pair")
+    meant = stage(spoken.join(gone.select("term").distinct(), "term", "left_semi").join(held.select("key", "entity"), "key").select("key", "term", pair), "meant")
+    facts = stage(meant.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).join(gone.select(pair, "share"), "pair"), "facts")
+    hits = attach(meant, facts, "pair", "n").filter("share IS NOT NULL").groupBy("key", "term").agg(F.max("share").alias("share"))
+    lists = hits.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("list"))
+
+    def span(m: Column) -> Column:
+        name = F.when(m["value"].rlike(r"^\p{Lu}"), "name").otherwise("term")
+        action = F.when(F.element_at("list", F.lower(m["value"])) >= REMOVE, "remove").otherwise(name)
+        return F.struct(F.lit("term").alias("kind"), m["start"].alias("start"), m["end"].alias("end"), action.alias("value"))
+
+    listed = F.filter(matches(F.col("rest"), TERM), lambda m: F.map_contains_key("list", F.lower(m["value"])))
+    rows = entities.join(lists, "key", "left").withColumn("terms", F.when(F.col("list").isNull(), none).otherwise(F.transform(listed, span)))
+    return rows.select("key", "doc_id", "base", "terms")
 
 
 def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def sanitised(text: Column, spans: Column) -> Column:
-    """A text with its spans, sorted by start, replaced by ``[KIND]``; removed terms leave nothing."""
+def by_start(spans: Column | str) -> Column:
+    """Spans by start, longer ones first."""
+    order = lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"])
+    return F.array_sort(spans, lambda a, b: F.signum(order(a, b)).cast("int"))
+
+
+def replaced(text: Column, spans: Column, label) -> Column:
+    """A text with its spans, sorted by start, replaced by ``label`` of what is done so far and the span."""
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def step(a: Column, s: Column) -> Column:
-        label = F.when(s["value"] == "remove", "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
         kept = F.substring(text, (a["at"] + 1).cast("int"), F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))
-        out = F.when(s["start"] >= a["at"], F.concat(a["out"], kept, label)).otherwise(a["out"])
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.alias("out"))
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], kept, label(a, s)).alias("out"))
 
     return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
 
 
+def sanitised(text: Column, spans: Column) -> Column:
+    """A text with its spans, sorted by start, replaced by ``[KIND]``, terms by ``[NAME]`` or ``[TERM]``.
+
+    Removed terms leave nothing, and of spans that overlap the first stands for both.
+    """
+
+    def label(a: Column, s: Column) -> Column:
+        broader = F.when(s["kind"] == "term", s["value"]).otherwise(s["kind"])
+        gone = (s["start"] < a["at"]) | ((s["kind"] == "term") & (s["value"] == "remove"))
+        return F.when(gone, "").otherwise(F.concat(F.lit("["), F.upper(broader), F.lit("]")))
+
+    return replaced(text, spans, label)
+
+
 def op7_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and spans of every document."""
     rows = all_spans(table(spark, sf_dir, "documents"))
@@ -258,8 +286,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in docs.columns]
     hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     rows = all_spans(docs)
-    by_start = F.array_sort(F.concat("base", "terms"), lambda a, b: F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"]).cast("int")).otherwise(F.signum(b["end"] - a["end"]).cast("int")))
-    wanted = rows.filter("size(base) > 0").groupBy("key").agg(F.first(by_start).alias(spans)).withColumnRenamed("key", key)
+    wanted = rows.filter("size(base) > 0").groupBy("key").agg(F.first(by_start(F.concat("base", "terms"))).alias(spans)).withColumnRenamed("key", key)
     joined = docs.filter(hinted).withColumn(key, text_key(docs)).join(wanted, key, "left")
     text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(sanitised(F.col("text"), F.col(spans)))
     changed = joined.withColumn("text", text)

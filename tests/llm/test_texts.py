@@ -104,16 +104,47 @@ def test_base_spans(docs):
         assert row.spans == ",".join(want)
 
 
+def brute_terms(rows):
+    """Spans of disclosing terms per doc_id, from the definition, for texts whose only entities are e-mails."""
+    parts = {i: (set(m[0].lower() for m in re.finditer(BASE["email"], t)), re.sub(BASE["email"], lambda m: " " * len(m[0]), t)) for i, t in rows}
+    texts = {(t, i if not re.search(pii.HINT, t) else None): i for i, t in rows}.values()
+    words = {i: {w.lower() for w in re.findall(r"[^\W\d_]{3,}", parts[i][1])} for i in parts}
+    holders, terms, both = Counter(), Counter(), Counter()
+    for i in texts:
+        held = {*(f"email:{v}" for v in parts[i][0]), *(["email"] if parts[i][0] else [])}
+        holders.update(held)
+        terms.update(words[i])
+        both.update((e, w) for e in held for w in words[i])
+    n, out = len(texts), {}
+    for i, _ in rows:
+        held = {*(f"email:{v}" for v in parts[i][0]), *(["email"] if parts[i][0] else [])}
+        share = {}
+        for e, w in ((e, w) for e in held for w in words[i]):
+            c, least = both[e, w], min(terms[w], holders[e])
+            told = math.log2(n * c / (terms[w] * holders[e])) / math.log2(n / holders[e])
+            share[w] = max(share.get(w, 0), told * c / (c + 1) * least / (least + 1))
+        found = re.finditer(r"[^\W\d_]{3,}", parts[i][1])
+        action = lambda m: "remove" if share[m[0].lower()] >= 0.75 else "name" if m[0][0].isupper() else "term"
+        out[i] = [(m.start(), m.end(), action(m)) for m in found if share.get(m[0].lower(), 0) >= 0.5]
+    return out
+
+
 def test_disclosing_terms(spark):
-    lines = ["zorblax agent reach me at z@x.org {} today", "agent zorblax of {} z@x.org", "for {} zorblax write z@x.org"]
-    rows = [(i, lines[i % 3].format("ab" + "cdefgh"[i])) for i in range(6)] + [(10 + i, "the agent went for a walk today") for i in range(200)]
+    """Terms of one value, of a kind pooled, in copies, in compounds and far from the entity, against brute force."""
+    lines = ["Zorblax agent reach me at z@x.org {} today", "agent zorblax of {} z@x.org", "for {} Anne-Zorblax write z@x.org"]
+    rows = [(i, lines[i % 3].format("ab" + "cdefghijk"[i])) for i in range(9)]
+    rows += [(100 + i, f"mail u{i}@site.org {'and so on ' * 30} our Helpdesk, today") for i in range(5)]
+    rows += [(200 + i, "unique copied words k@copy.org") for i in range(50)]
+    rows += [(300 + i, f"the agent went for a walk today {'unique' if i % 3 else ''}") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    out = {r.doc_id: r for r in pii.all_spans(docs).collect()}
-    assert {s.value for i in range(6) for s in out[i].terms} == {"remove"}
-    assert all(lines[i % 3].format("ab" + "cdefgh"[i])[s.start : s.end] == "zorblax" for i in range(6) for s in out[i].terms)
-    assert not any(out[10 + i].terms for i in range(200))
+    out = {r.doc_id: [(s.start, s.end, s.value) for s in r.terms] for r in pii.all_spans(docs).collect()}
+    assert out == brute_terms(rows)
+    texts = dict(rows)
+    assert all("remove" in {v for a, b, v in out[i] if texts[i][a:b].lower() == "zorblax"} for i in range(9))
+    assert {v for _, _, v in out[100]} == {"name", "term"}
+    assert not any(out[i] for i in (*range(200, 250), *range(300, 500)))
     clean = {r.doc_id: r.text for r in pii.sanitise(spark, docs, "").collect()}
-    assert clean[0] == " agent reach me at [EMAIL] abc today" and clean[10] == "the agent went for a walk today"
+    assert not any("zorblax" in clean[i].lower() for i in range(9)) and "[NAME]" in clean[100] and clean[300] == texts[300]
 
 
 def test_sanitise_updates_length_and_keeps_rows(spark):
