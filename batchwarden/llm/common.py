@@ -38,12 +38,11 @@ def stage(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(*staged: DataFrame) -> None:
+def discard(spark: SparkSession, *staged: DataFrame) -> None:
     """Remove staged tables that nothing will read any more, and the shuffle files of what led to them.
 
     Spark removes shuffle files once the driver has forgotten the plans they belong to.
     """
-    spark = staged[0].sparkSession
     jvm = spark.sparkContext._jvm
     for df in staged:
         for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
