@@ -63,6 +63,20 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Unsigned integers as compressed planes of bytes, low ones first, as many as the largest needs."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    split = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + zlib.compress(split.T.tobytes(), 1)
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    split = np.frombuffer(zlib.decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
+    whole = np.zeros((split.shape[1], 8), np.uint8)
+    whole[:, : data[0]] = split.T
+    return whole.reshape(-1).view("<u8")
+
+
 class _Gathering:
     """Documents on their way into a block."""
 
@@ -85,7 +99,7 @@ class _Gathering:
     def row(self, name: str, held: bool) -> pa.RecordBatch:
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
         row = {"block": name, "held": held, "doc_ids": self.doc_ids, "lengths": [len(t) for t in self.tokens], "n_tokens": self.size}
-        row |= {"vocabulary": hashes.tobytes(), "tokens": np.concatenate(self.tokens).tobytes()}
+        row |= {"vocabulary": hashes.tobytes(), "tokens": _planes(np.concatenate(self.tokens))}
         return pa.RecordBatch.from_pylist([row], schema=BLOCK_ARROW)
 
 
@@ -117,7 +131,7 @@ class _Ngrams:
 
     def __init__(self, row: dict) -> None:
         vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
-        self.tokens = np.frombuffer(row["tokens"], np.uint32)
+        self.tokens = _from_planes(row["tokens"]).astype(np.uint32)
         # Before the first word of a document stands the end of another, which has index 0.
         self.contexts = np.concatenate((np.zeros(1, np.uint32), self.tokens[:-1]))
         pairs = self.contexts.astype(np.uint64) * np.uint64(len(vocabulary)) + self.tokens
@@ -136,14 +150,14 @@ class _Ngrams:
             at = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
             begins = np.flatnonzero(np.diff(at.astype(np.int64), prepend=-1))
             for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(keys)]):
-                yield {"kind": kind, "range": int(at[a]), "block": row["block"], "keys": _packed(keys[a:b]), "counts": zlib.compress(counts[a:b].tobytes(), 1)}
+                yield {"kind": kind, "range": int(at[a]), "block": row["block"], "keys": _packed(keys[a:b]), "counts": _planes(counts[a:b])}
 
     def counts(self, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Training counts of every token, of its context, and of both together."""
         found = {}
         for kind, (keys, which) in self.of_kind.items():
             own = sorted((a["range"], a["counts"]) for a in answers if a["kind"] == kind)
-            in_order = np.concatenate([np.frombuffer(zlib.decompress(c), np.uint64) for _, c in own])
+            in_order = np.concatenate([_from_planes(c) for _, c in own])
             of_key = np.zeros(len(keys), np.uint64)
             of_key[np.argsort(keys, kind="stable")] = in_order
             found[kind] = of_key
@@ -172,13 +186,13 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def answers(rows: list[dict]) -> pa.RecordBatch:
         keys = [_unpacked(r["keys"]) for r in rows]
-        counts = np.concatenate([np.frombuffer(zlib.decompress(r["counts"]), np.uint32) for r in rows])
+        counts = np.concatenate([_from_planes(r["counts"]) for r in rows])
         different, which = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(which.reshape(-1), counts, len(different)).astype(np.uint64)
         each = np.split(totals[which.reshape(-1)], np.cumsum([len(k) for k in keys])[:-1])
         seen = int((totals > 0).sum())
         made = [
-            {"kind": r["kind"], "range": r["range"], "block": r["block"], "counts": zlib.compress(c.tobytes(), 1), "n_distinct": 0 if k else seen}
+            {"kind": r["kind"], "range": r["range"], "block": r["block"], "counts": _planes(c), "n_distinct": 0 if k else seen}
             for k, (r, c) in enumerate(zip(rows, each))
         ]
         return pa.RecordBatch.from_pylist(made, schema=ANSWER_ARROW)
