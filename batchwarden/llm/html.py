@@ -9,6 +9,7 @@ the nearest decided block, looking at its own section of the page first.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -45,7 +46,10 @@ NAMES = re.compile(
     r"newsletter|notice|pagination|popup|promo\w*|recommend\w*|related|share|sharing|sidebar|social|sponsor\w*|subscribe|teaser|toolbar|widget)(?:$|[\s_-])",
     re.I,
 )
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+BODY = re.compile(r"<body\b|<article\b", re.I)
+TAG = re.compile(r"</?[a-zA-Z]")
+NAME_END = re.compile(r"[\s/>]")
+TAG_SPECIAL = re.compile(r"[>\"']")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
@@ -60,12 +64,72 @@ class Block:
         self.clutter, self.inside, self.label = clutter, inside, None
 
 
+class _Scanner:
+    """Finds the tags of a page in one pass, however damaged it is.
+
+    What is looked for from several places is remembered, so that no stretch of text is searched twice:
+    the next place of a kind, and the quotes from which a tag is known not to end.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self.last_close = html.rfind(">")
+        self.next_place: dict[re.Pattern, tuple[int, int]] = {}
+        self.dead: set[int] = set()
+        self.no_end: set[str] = set()
+
+    def _next(self, what: re.Pattern, at: int) -> int:
+        """Place of the first match from ``at``, where calls come in page order; the page's length for none."""
+        since, place = self.next_place.get(what, (0, -1))
+        if not since <= at <= place:
+            found = what.search(self.html, at)
+            place = found.start() if found else len(self.html)
+            self.next_place[what] = (at, place)
+        return place
+
+    def tag(self, at: int) -> tuple[str, bool, str, int] | None:
+        """Name, whether it closes, attributes and end of the tag at ``at``; None if none ends from there.
+
+        A ``>`` between quotes is part of a value.
+        """
+        if at > self.last_close or not TAG.match(self.html, at):
+            return None
+        closing = self.html[at + 1] == "/"
+        begin = at + 2 if closing else at + 1
+        name_end = self._next(NAME_END, begin)
+        place, opened = self._next(TAG_SPECIAL, begin), []
+        if place < name_end:  # quotes inside the name are part of it
+            found = TAG_SPECIAL.search(self.html, name_end)
+            place = found.start() if found else len(self.html)
+        while place < len(self.html) and self.html[place] != ">":
+            quote_end = -1 if place in self.dead else self.html.find(self.html[place], place + 1)
+            opened.append(place)
+            found = TAG_SPECIAL.search(self.html, quote_end + 1) if quote_end >= 0 else None
+            place = found.start() if found else len(self.html)
+        if place >= len(self.html):
+            self.dead.update(opened)
+            return None
+        return self.html[begin:name_end].lower(), closing, self.html[name_end:place], place + 1
+
+    def after(self, name: str, at: int) -> int | None:
+        """Where the first end tag of a name from ``at`` ends."""
+        if name in self.no_end or at > self.last_close:
+            return None
+        found = re.compile(rf"</{re.escape(name)}\b", re.I).search(self.html, at)
+        if found is None or found.end() > self.last_close:
+            self.no_end.add(name)
+            return None
+        return self.html.index(">", found.end()) + 1
+
+
 def blocks(html: str) -> list[Block]:
     """The blocks of a page that hold text, in page order."""
     out: list[Block] = []
     stack: list[tuple[str, int, bool, bool]] = []  # name, section, clutter, inside an article
     parts: list[str] = []
-    linked = sections = links = at = 0
+    opened: Counter[str] = Counter()  # how many of each name are on the stack
+    linked = sections = at = 0
+    scanner = _Scanner(html)
 
     def flush() -> None:
         nonlocal linked
@@ -76,21 +140,39 @@ def blocks(html: str) -> list[Block]:
         parts.clear()
         linked = 0
 
-    while match := TOKEN.match(html, at):
-        at = match.end()
-        name = (match[2] or "").lower()
-        if not name:
-            piece = match[0]
-            if not piece.startswith(("<!", "<?")):
-                parts.append(piece)
-                linked += links and len(piece.strip())
+    def keep(piece: str) -> None:
+        nonlocal linked
+        parts.append(piece)
+        linked += len(piece.strip()) if opened["a"] else 0
+
+    while at < len(html):
+        if html[at] != "<":
+            end = html.find("<", at)
+            end = len(html) if end < 0 else end
+            keep(html[at:end])
+            at = end
+            continue
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            at = len(html) if end < 0 else end + 3
+            continue
+        if html.startswith(("<!", "<?"), at) and at < scanner.last_close:
+            at = html.index(">", at) + 1
+            continue
+        tag = scanner.tag(at)
+        if tag is None:
+            keep("<")
+            at += 1
             continue
-        closing, attributes = match[1] == "/", match[3]
+        name, closing, attributes, at = tag
         if name in SILENT:
             if not closing and not attributes.endswith("/"):
-                end = re.compile(rf"</{name}\b[^>]*>" + ("|<body\\b|<article\\b" if name == "head" else ""), re.I).search(html, at)
-                # A head that is never closed ends where the body begins.
-                at = len(html) if end is None else end.end() if end[0][1] == "/" else end.start()
+                end = scanner.after(name, at)
+                at, begin = len(html) if end is None else end, at
+                if name == "head":
+                    # A head that is never closed ends where the body begins.
+                    body = BODY.search(html, begin, at)
+                    at = body.start() if body else at
             continue
         if name == "br":
             parts.append(" ")
@@ -98,13 +180,13 @@ def blocks(html: str) -> list[Block]:
             flush()
         if name not in HOLDERS:
             if not closing and name not in VOID and HIDDEN.search(attributes):
-                end = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else at
+                at = scanner.after(name, at) or at
             continue
         if closing:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if depth is not None:
-                del stack[depth:]
+            last = None
+            while opened[name] and last != name:
+                last = stack.pop()[0]
+                opened[last] -= 1
         else:
             _, section, clutter, inside = stack[-1] if stack else ("", 0, False, False)
             if name != "a":
@@ -115,7 +197,7 @@ def blocks(html: str) -> list[Block]:
                 inside = inside or name in CONTENT
             if not attributes.endswith("/"):
                 stack.append((name, section, clutter, inside))
-        links = sum(1 for s in stack if s[0] == "a")
+                opened[name] += 1
     flush()
     return out
 
@@ -175,10 +257,11 @@ def main_text(html: str | None) -> str:
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
     """``pages`` without ``html``, with ``text`` (never null) and ``n_chars``, its length in code points.
 
-    A null or empty page has an empty text. Other columns pass unchanged, so ``text`` and ``n_chars``
-    must not be among them. Repeated rows come out repeated.
+    A null or empty page has an empty text. Other columns pass unchanged; own columns called like the
+    two that are made give way to them. Repeated rows come out repeated.
     """
-    kept = [c for c in pages.columns if c != html]
+    made_names = {text.lower(), "n_chars"}
+    kept = [c for c in pages.columns if c != html and c.lower() not in made_names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,6 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
+import math
+import re
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -258,3 +261,25 @@ def test_sha_of_no_spans(docs):
     empty = hashlib.sha256(b"").hexdigest()
     rows = pii.all_spans(docs.filter("text IS NULL")).select(F.sha2(pii._joined(F.col("base")), 256).alias("s")).collect()
     assert [r.s for r in rows] == [empty]
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<a 'x\" ", "<a<", "<div>", "<p hidden>", "<style></style ", "<!", "</a "])
+def test_damaged_pages_take_linear_time(piece):
+    def seconds(size):
+        page = piece * (size // len(piece))
+        begin = time.perf_counter()
+        html.main_text(page)
+        return time.perf_counter() - begin
+
+    assert seconds(400_000) < 10
+
+
+def test_tags_of_damaged_pages():
+    assert [b.text for b in html.blocks('<p>a < b <i c="x>y">d</i> <p>e <a "f')] == ["a < b d", 'e <a "f']
+    assert [b.text for b in html.blocks("<p>a<!-- <p>b --><p hidden>c</p>d<style>p{}</style><p>e<!-- f")] == ["a", "d", "e"]
+    assert [b.linked for b in html.blocks("<p><a href='x'>four</a></p><p>none</p></a><p>none</p>")] == [4, 0, 0]
+
+
+def test_own_text_columns_give_way(spark):
+    rows = spark.createDataFrame([(1, "<p>a</p>", "old", 99)], "page_id bigint, html string, text string, n_chars int")
+    assert [r.asDict() for r in html.extract(rows).collect()] == [{"page_id": 1, "text": "", "n_chars": 0}]
