@@ -6,8 +6,6 @@ import hashlib
 import math
 import re
 import time
-import math
-import re
 import zlib
 from collections import Counter
 from itertools import combinations
