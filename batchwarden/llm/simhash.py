@@ -132,9 +132,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of texts connected by a Jaccard similarity of 0.8 or more, the smallest doc_id's.
 
-    Sets of five-word shingles are compared, not fingerprints: at that similarity fingerprints lie too
-    many bits apart for masks to tell. Rows that repeat that doc_id are dropped as well; rows without
-    doc_id stay.
+    Candidates are texts whose SimHash fingerprints over five-word shingles share a key (see ``similar``);
+    these fingerprints are longer than 64 bits, as at that similarity 64 lie too many bits apart for masks
+    to tell. Candidates are then compared exactly. Rows that repeat that doc_id are dropped as well; rows
+    without doc_id stay.
     """
     first = docs.join(first_ids(docs, width=5), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return first.unionByName(docs.filter("doc_id IS NULL")).select(*(F.col(f"`{c}`") for c in docs.columns))
