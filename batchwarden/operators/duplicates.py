@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from batchwarden.operators.batching import BATCH, source_columns
 from batchwarden.operators.membership import mark_members
-from batchwarden.sources.staging import Staged, stage
+from batchwarden.sources.staging import Staged, measured, stage
 
 FINGERPRINT = "_fingerprint"
 REPEATED_KEY = "_repeated_key"
 COPIED_ROW = "_copied_row"
+SUSPECT = "_suspect_key"
 
 
 def fingerprint(df: DataFrame, columns: list[str]) -> Column:
@@ -50,9 +51,14 @@ class Duplicates:
         return self.rows.df.groupBy(BATCH).agg(F.sum("n").alias("n_copies"))
 
 
-def key_counts(batched: DataFrame, key: str) -> DataFrame:
-    """Rows per key met more than once within a batch, and rows without a key."""
-    counts = batched.groupBy(BATCH, key).agg(F.count(F.lit(1)).alias("n"))
+def suspicious() -> Column:
+    """Whether two of a key's rows may be equal: always among three, of two only with one fingerprint."""
+    return ((F.count(F.lit(1)) > 2) | (F.min(FINGERPRINT) == F.max(FINGERPRINT))).alias(SUSPECT)
+
+
+def key_counts(batched: DataFrame, key: str, *more: Column) -> DataFrame:
+    """Rows per key met more than once within a batch, and rows without a key, with further aggregates."""
+    counts = batched.groupBy(BATCH, key).agg(F.count(F.lit(1)).alias("n"), *more)
     return counts.filter((F.col("n") > 1) | F.col(key).isNull())
 
 
@@ -80,16 +86,21 @@ def find_duplicates(batched: DataFrame, key: str | None) -> Duplicates:
     """Count and stage the repeated keys and the fully repeated rows of every batch.
 
     Copies of a row repeat its key, if it has one.  So whole rows are only looked at where the key
-    is repeated or missing, and not at all in a table where every row has a key of its own.
+    is repeated or missing, and not at all in a table where every row has a key of its own. Two rows
+    of a key that differ in their fingerprints are told apart while keys are counted.
     """
     columns = source_columns(batched)
     if key not in columns:
         return Duplicates(None, columns, None, copied_rows(batched, columns))
-    counts = stage(key_counts(batched, key), "repeated-keys")
+    # Maps have no hash; with them every repeated key is suspect.
+    hashed = not any(kind in batched.schema[c].dataType.simpleString() for c in columns for kind in ("map<", "variant"))
+    printed = batched.withColumn(FINGERPRINT, fingerprint(batched, columns) if hashed else F.lit(0))
+    counts = stage(key_counts(printed, key, suspicious()), "repeated-keys")
     if counts.rows == 0:
         return Duplicates(key, columns, None, None)
     keys = Staged(counts.df.filter(F.col(key).isNotNull()), counts.rows, counts.bytes)
-    candidates = mark_members(batched, keys, [BATCH, key], REPEATED_KEY)
+    suspects = measured(keys.df.filter(SUSPECT))
+    candidates = mark_members(batched, suspects, [BATCH, key], REPEATED_KEY)
     candidates = candidates.filter(F.col(REPEATED_KEY) | F.col(key).isNull()).drop(REPEATED_KEY)
     return Duplicates(key, columns, keys, copied_rows(candidates, columns))
 

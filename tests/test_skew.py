@@ -139,3 +139,23 @@ def test_wide_rows_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(staging, "BROADCAST_BYTES", 50_000)
     assert not held.fits
     assert staging.stage(few.limit(0), "none").bytes == 0
+
+
+def test_rows_told_apart_by_two_fingerprints_are_not_compared(spark, monkeypatch):
+    """Pairs of different rows under one key are settled by the key counts; copies are still found."""
+    rows = [("two", 1.0), ("two", 2.0), ("same", 3.0), ("same", 3.0), ("three", 4.0), ("three", 4.0), ("three", 5.0), ("own", 6.0), (None, 7.0), (None, 7.0)]
+    compared = []
+    plain = duplicates.copied_rows
+
+    def counted(candidates, columns):
+        compared.append(sorted(str(r["vin"]) for r in candidates.collect()))
+        return plain(candidates, columns)
+
+    monkeypatch.setattr(duplicates, "copied_rows", counted)
+    batched = single_batch(spark.createDataFrame(rows, "vin string, price double"))
+    found = duplicates.find_duplicates(batched, "vin")
+    assert compared == [["None", "None", "same", "same", "three", "three", "three"]]
+    assert found.copies_per_batch().first()["n_copies"] == 6
+    marked = duplicates.mark_duplicates(batched, found).collect()
+    assert {r["vin"] for r in marked if r[duplicates.REPEATED_KEY]} == {"two", "same", "three"}
+    assert [r["vin"] for r in marked if r[duplicates.COPIED_ROW]] == [None, None]
