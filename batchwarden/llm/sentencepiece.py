@@ -4,6 +4,7 @@ The search keeps the best path to each of the last few positions, as many as the
 characters. As soon as no piece spans a position, or the back-pointer paths of all positions in the
 window run through one, everything before it is committed and forgotten. What lies between two such
 boundaries does not depend on its surroundings, so a worker remembers the ids of words it has met.
+New words that are short enough to need no commit but between pieces are searched side by side.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ MARK = "▁"  # stands for a space inside pieces
 UNKNOWN_PENALTY = 10.0
 MEMO_WORDS = 400_000  # in each of two generations
 TEXTS = 256
+# Longest word that is remembered, and words searched at a time.
+SHORT = 64
+CHUNK = 16384
 
 
 class Pieces:
@@ -47,6 +51,7 @@ class Pieces:
                 node = following.setdefault(character, [{}, -1, 0.0])
                 following = node[0]
             node[1:] = i, model.get_score(i)
+        self._number_trie(plain)
         # Whether a word mark can only begin a piece or follow other marks, so that words part there.
         self.words_part = not any(MARK in name.lstrip(MARK) for name in (self.names[i] for i in plain))
         self.memo: dict[str, bytes] = {}
@@ -56,6 +61,107 @@ class Pieces:
         silent = {i for i in range(size) if model.is_control(i) or model.is_unknown(i)}
         self.outputs = [bytes([values[i]]) if i in values else b"" if i in silent else self.names[i].replace(MARK, " ").encode() for i in range(size)]
 
+    def _number_trie(self, plain: list[int]) -> None:
+        """The trie as arrays: nodes by number, what follows them in a table of hashed (node, character)."""
+        nodes, steps = {"": 0}, []
+        for name in (self.names[i] for i in plain):
+            for k in range(1, len(name) + 1):
+                if name[:k] not in nodes:
+                    nodes[name[:k]] = len(nodes)
+                    steps.append((nodes[name[: k - 1]] << 21 | ord(name[k - 1]), len(nodes) - 1))
+        self.ends_here = np.full(len(nodes), -1, np.int32)
+        self.ends_here[[nodes[self.names[i]] for i in plain]] = plain
+        # Scores by id; the last is that of an unknown character.
+        self.worths = np.full(len(self.names) + 1, self.unknown)
+        self.worths[plain] = [self.model.get_score(i) for i in plain]
+        self.bits = max(4, len(steps).bit_length() + 2)
+        self.keys, self.following = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
+        for key, node in steps:
+            at = int(self._slots(np.array([key], np.int64))[0])
+            while self.keys[at] >= 0:
+                at = (at + 1) % len(self.keys)
+            self.keys[at], self.following[at] = key, node
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _follow(self, nodes: np.ndarray, characters: np.ndarray) -> np.ndarray:
+        """The nodes that follow by a character, -1 where none does."""
+        wanted = nodes.astype(np.int64) << 21 | characters
+        at = self._slots(wanted)
+        found = self.keys[at]
+        open_ = np.flatnonzero((found != wanted) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) % len(self.keys)
+            found[open_] = self.keys[at[open_]]
+            open_ = open_[(found[open_] != wanted[open_]) & (found[open_] >= 0)]
+        return np.where(found == wanted, self.following[at], -1)
+
+    def _search(self, words: list[str]) -> list[bytes]:
+        """The ids of words of up to SHORT characters, longest first, as ``stream`` finds them: all take a step together."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        total = int(starts[-1] + lengths[-1]) + 1
+        own = np.arange(int(lengths.sum())) + np.repeat(np.arange(len(words)), lengths)
+        characters = np.full(total, (1 << 21) - 1, np.int64)  # between words, what no piece holds
+        characters[own] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        # All pieces in the words: where they begin, their lengths and ids, and where the furthest one ends.
+        covered, furthest = np.zeros(total, bool), np.arange(1, total + 1)
+        live, nodes, found = own, np.zeros(len(own), np.int32), []
+        for length in range(1, self.longest + 1):
+            nodes = self._follow(nodes, characters[live + length - 1])
+            live, nodes = live[nodes >= 0], nodes[nodes >= 0]
+            ending = self.ends_here[nodes]
+            ended, ending = live[ending >= 0], ending[ending >= 0]
+            found.append((ended, np.full(len(ended), length), ending))
+            furthest[ended] = ended + length
+            if length == 1:
+                covered[ended] = True
+        others = own[~covered[own]]
+        found.append((others, np.ones(len(others), np.int64), np.full(len(others), len(self.names), np.int32)))
+        begin, length, piece = map(np.concatenate, zip(*found))
+        offset = (np.arange(total) - np.repeat(starts, lengths + 1)).astype(np.int16)[begin]
+        order = np.argsort(offset, kind="stable")
+        begin, piece, end = begin[order], piece[order], (begin + length)[order]
+        worth = self.worths[piece]
+        steps = np.cumsum([0, *np.bincount(offset)]).tolist()
+        scores = np.full(total, -np.inf)
+        scores[starts] = 0.0
+        begins, numbers = np.zeros(total, np.int64), np.zeros(total, np.int64)
+        reached = np.zeros(len(words), np.int64)
+        for at, (low, high) in enumerate(zip(steps, steps[1:])):
+            here = starts[: int(np.searchsorted(-lengths, -at, "left"))] + at
+            reached = reached[: len(here)]
+            # No piece spans these places: what comes before is certain.
+            scores[here[reached <= here]] = 0.0
+            np.maximum(reached, furthest[here], out=reached)
+            # Pieces that begin at one place end at different ones.
+            score = scores[begin[low:high]] + worth[low:high]
+            better = low + np.flatnonzero(score > scores[end[low:high]])
+            to = end[better]
+            scores[to], begins[to], numbers[to] = score[better - low], begin[better], piece[better]
+        chosen = np.full(total, -1, np.int64)
+        at, left = starts + lengths, starts
+        while len(at := at[(more := at > left)]):
+            left = left[more]
+            chosen[at] = numbers[at]
+            at = begins[at]
+        path = np.flatnonzero(chosen >= 0)
+        word = np.searchsorted(starts, path, "right") - 1
+        ends = np.cumsum(np.bincount(word, minlength=len(words)))
+        raw = chosen[path].astype("<u4").tobytes()
+        bounds = [0, *(4 * ends).tolist()]
+        made = [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+        for k in np.unique(word[chosen[path] == len(self.names)]).tolist():
+            made[k] = self._path_of(words[k], chosen[starts[k] + 1 : starts[k] + 1 + lengths[k]])
+        return made
+
+    def _path_of(self, word: str, chosen: np.ndarray) -> bytes:
+        """The ids of a path with unknown characters, from the id that ends at each place (-1: none)."""
+        numbers = [(k, i) for k, i in enumerate(chosen.tolist()) if i >= 0]
+        found = [[i] if i < len(self.names) else self._other(word[k]) for k, i in numbers]
+        return b"".join(self.coded[i] for run in found for i in run)
+
     def _other(self, character: str) -> list[int]:
         """The ids of a character that no piece covers."""
         if not self.bytes:
@@ -123,38 +229,50 @@ class Pieces:
         shared = set.intersection(*paths) if paths else set()
         return max((k for k in shared if k <= at), default=base)
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian 32-bit integers."""
+    def _words(self, text: str) -> list[str]:
+        """The normalised words of a text."""
         whole = self.model.normalize(text).replace(" ", MARK) if text else ""
         if not self.words_part:
-            words = [whole]
-        else:
-            # A word begins at a mark that follows another character; runs of marks stay together.
-            parts = whole.split(MARK)
-            if "" in parts[1:]:
-                words, marks = [], ""
-                for k, part in enumerate(parts):
-                    marks += MARK if k else ""
-                    if part:
-                        words.append(marks + part)
-                        marks = ""
-                words += [marks] if marks else []
-            else:
-                words = ([parts[0]] if parts[0] else []) + [MARK + part for part in parts[1:]]
+            return [whole] if whole else []
+        # A word begins at a mark that follows another character; runs of marks stay together.
+        parts = whole.split(MARK)
+        if "" not in parts[1:]:
+            return ([parts[0]] if parts[0] else []) + [MARK + part for part in parts[1:]]
+        words, marks = [], ""
+        for k, part in enumerate(parts):
+            marks += MARK if k else ""
+            if part:
+                words.append(marks + part)
+                marks = ""
+        return words + ([marks] if marks else [])
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian 32-bit integers."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        split = [self._words(text) for text in texts]
         if len(self.memo) > MEMO_WORDS:
             self.memo, self.older = {}, self.memo
         memo, older, coded = self.memo, self.older, self.coded
-        out = []
-        for word in words:
-            ids = memo.get(word)
-            if ids is None:
-                ids = older.get(word)
-                if ids is None:
-                    ids = b"".join([coded[i] for run in self.stream(word) for i in run])
-                if len(word) <= 64:
-                    memo[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        new = set().union(*split).difference(memo)
+        again = new.intersection(older)
+        memo.update((word, older[word]) for word in again)
+        limit = min(SHORT, 4 * self.longest)  # up to which ``stream`` commits between pieces only
+        new -= again
+        short = sorted((word for word in new if len(word) <= limit), key=len, reverse=True)
+        for at in range(0, len(short), CHUNK):
+            part = short[at : at + CHUNK]
+            memo.update(zip(part, self._search(part)))
+        long = [word for word in new if len(word) > limit]
+        for word in long:
+            memo[word] = b"".join([coded[i] for run in self.stream(word) for i in run])
+        out = [b"".join(map(memo.__getitem__, words)) for words in split]
+        for word in long:
+            if len(word) > SHORT:
+                del memo[word]
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the space that normalisation puts in front is taken off."""
@@ -181,7 +299,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = M
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS):
                 batch = whole.slice(at, TEXTS)
-                coded = [known.encode(t or "") for t in batch.column(len(kept)).to_pylist()]
+                coded = known.encode_all([t or "" for t in batch.column(len(kept)).to_pylist()])
                 ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
                 column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(coded), "<i4")))
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], column], [*kept, ids])
