@@ -317,7 +317,10 @@ def decode(coded: DataFrame, ids: str = "ids", text: str = "text", model: str =
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS):
                 batch = whole.slice(at, TEXTS)
-                lists = [np.array([] if v.as_py() is None else v.values.to_numpy(), "<u4") for v in batch.column(ids)]
+                column = batch.column(ids).fill_null([])
+                bounds = np.cumsum([0, *column.value_lengths().to_numpy()]).tolist()
+                flat = column.flatten().to_numpy().astype("<u4")
+                lists = [flat[a:b] for a, b in zip(bounds, bounds[1:])]
                 made = [pa.array([known.decode(v) for v in lists], pa.string()), pa.array([zlib.crc32(v.tobytes()) for v in lists], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, text, "ids_crc32"])
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import random
+import zlib
+
+import numpy as np
 
 from batchwarden.llm import sentencepiece, tokens
 
@@ -60,3 +63,13 @@ def test_odd_texts_have_the_ids_of_the_library():
         coder = tokens.Encoder(tokens.public_tokenizers.path(name))
         wanted = [coder.tokenizer.encode(text, add_special_tokens=False).ids for text in ODD]
         assert [ids.tolist() for ids in coder.encode(ODD)] == wanted
+
+
+def test_ids_are_read_as_arrays_and_null_ids_are_none(spark):
+    known = sentencepiece.pieces()
+    texts = ["one two", "", "Straße 🙂 x", None]
+    rows = [(k, [int(i) for i in np.frombuffer(known.encode(t), "<u4")] if t is not None else None) for k, t in enumerate(texts)]
+    made = sentencepiece.decode(spark.createDataFrame(rows, "doc_id bigint, ids array<int>").coalesce(1)).orderBy("doc_id").collect()
+    assert [r["text"] for r in made] == ["one two", "", "Straße 🙂 x", ""]
+    assert [r["ids_crc32"] for r in made] == [zlib.crc32(np.array(ids or [], "<u4").tobytes()) for _, ids in rows]
+    assert [r["ids"] for r in made] == [ids for _, ids in rows]
