@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -24,11 +25,11 @@ from batchwarden.llm.common import table
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"  # stands for a space inside pieces
 UNKNOWN_PENALTY = 10.0
-MEMO_WORDS = 400_000  # in each of two generations
+MEMO_WORDS = 250_000  # in each of two generations
 TEXTS = 256
 # Longest word that is remembered, and words searched at a time.
 SHORT = 64
-CHUNK = 16384
+CHUNK = 4096
 
 
 class Pieces:
@@ -43,15 +44,9 @@ class Pieces:
         self.unknown = min(model.get_score(i) for i in plain) - UNKNOWN_PENALTY
         self.bytes = {int(self.names[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
         self.unknown_id = model.unk_id()
-        # A node: what follows by character, the id of the piece that ends here (-1: none), its score.
-        self.trie: dict[str, list] = {}
-        for i in plain:
-            following, node = self.trie, None
-            for character in self.names[i]:
-                node = following.setdefault(character, [{}, -1, 0.0])
-                following = node[0]
-            node[1:] = i, model.get_score(i)
-        self._number_trie(plain)
+        # Tries are made where texts are encoded, as decoding needs none.
+        self.plain = plain
+        self.keys: np.ndarray | None = None
         # Whether a word mark can only begin a piece or follow other marks, so that words part there.
         self.words_part = not any(MARK in name.lstrip(MARK) for name in (self.names[i] for i in plain))
         self.memo: dict[str, bytes] = {}
@@ -61,6 +56,18 @@ class Pieces:
         silent = {i for i in range(size) if model.is_control(i) or model.is_unknown(i)}
         self.outputs = [bytes([values[i]]) if i in values else b"" if i in silent else self.names[i].replace(MARK, " ").encode() for i in range(size)]
 
+    @cached_property
+    def trie(self) -> dict[str, list]:
+        """What begins pieces. A node: what follows by character, the id of the piece that ends here (-1: none), its score."""
+        trie: dict[str, list] = {}
+        for i in self.plain:
+            following, node = trie, None
+            for character in self.names[i]:
+                node = following.setdefault(character, [{}, -1, 0.0])
+                following = node[0]
+            node[1:] = i, self.model.get_score(i)
+        return trie
+
     def _number_trie(self, plain: list[int]) -> None:
         """The trie as arrays: nodes by number, what follows them in a table of hashed (node, character)."""
         nodes, steps = {"": 0}, []
@@ -99,6 +106,8 @@ class Pieces:
 
     def _search(self, words: list[str]) -> list[bytes]:
         """The ids of words of up to SHORT characters, longest first, as ``stream`` finds them: all take a step together."""
+        if self.keys is None:
+            self._number_trie(self.plain)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         starts = np.cumsum(lengths + 1) - lengths - 1
         total = int(starts[-1] + lengths[-1]) + 1
