@@ -45,6 +45,22 @@ def test_memo_changes_no_id(name):
     assert [x.tolist() for x in coder.encode(texts[:20])] == [plain_ids(name, t) for t in texts[:20]]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_marks_after_letters_are_parted(name):
+    rng = random.Random(6)
+    letters = ["ab", "Ab", "é", "ÉÀ", "İx", "ΑΣ", "ж", "日本", "x́", "a1", "9", "don't", "²", "\u0870", "a" * 70, ""]
+    marks = [".", ",", "...", "'", "'s", "''", "!?", "-", "_", "^", "`", "$&", "…", "\u0301", "<", "¨", ""]
+    words = [w + m for w in letters for m in marks]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "  ", "\n", "\n\n", "\t", "\x1c", "\x00 "]) for _ in range(40)) for _ in range(400)]
+    coder = tokens.Encoder(public_tokenizers.path(name))
+    assert [x.tolist() for x in coder.encode(texts)] == [plain_ids(name, t) for t in texts]
+    assert max(map(len, coder.memo)) <= tokens.MEMO_LENGTH
+    # A known word with known marks needs no further work of the tokenizer.
+    coder.encode([" other .", ".", ",", " then,"])
+    coder._together = coder._alone = lambda pieces, *rest: pieces and pytest.fail(f"{pieces} encoded again")
+    assert coder.encode([" other, other. then."])[0].tolist() == plain_ids(name, " other, other. then.")
+
+
 def test_code_lengths_are_optimal():
     counts = np.array([5, 0, 9, 1, 1, 30, 2, 2])
     heap = [(c, [i]) for i, c in enumerate(counts.tolist()) if c]
