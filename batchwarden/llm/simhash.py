@@ -21,9 +21,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from batchwarden.llm.common import attach, stage, table
+from batchwarden.llm.common import attach, fresh, stage, table
 from batchwarden.llm.components import components
 from batchwarden.llm.similar import first_ids
+from batchwarden.operators.membership import possible
 
 BITS = 64
 RADIUS = 2
@@ -137,5 +138,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     to tell. Candidates are then compared exactly. Rows that repeat that doc_id are dropped as well; rows
     without doc_id stay.
     """
-    first = docs.join(first_ids(docs, width=5), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    known = docs.filter("doc_id IS NOT NULL")
+    ids = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    first = stage(first_ids(docs, width=5).withColumn("kept", F.lit(True)), "first")
+    # Only the rows of a doc_id that is dropped or repeated need to meet; bit maps tell most others.
+    listed = stage(ids.join(first, "doc_id", "left").filter("n > 1 OR kept IS NULL").select("doc_id", "kept"), "listed")
+    flag = fresh(docs, "_listed")
+    # ``possible`` has columns of its own, whose names may be taken: it sees the id and the whole row.
+    whole = known.select("doc_id", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    marked = possible(whole, listed, ["doc_id"], flag)
+    open_rows = marked.filter(flag).join(listed.filter("kept IS NULL"), "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    first = marked.filter(~F.col(flag)).select("row.*").unionByName(open_rows.select("row.*"))
     return first.unionByName(docs.filter("doc_id IS NULL")).select(*(F.col(f"`{c}`") for c in docs.columns))
