@@ -138,6 +138,38 @@ def test_crossover_keeps_every_piece():
     assert packing.evolve(lengths, 64, [one.places()], 1).fitness >= one.fitness
 
 
+def cut_bins(n, capacity, seed):
+    """Lengths that fill ``n`` bins but for very little, the shortest a twentieth of a bin."""
+    rng = random.Random(seed)
+    bins = []
+    while len(bins) < n:
+        cuts = sorted([0, capacity, *rng.sample(range(1, capacity), rng.choice((2, 3, 4)))])
+        bins += [b] if min(b := [y - x for x, y in zip(cuts, cuts[1:])]) >= capacity // 20 else []
+    return sorted((x - 2 * (k % 3 == 0) for k, x in enumerate(x for b in bins for x in b)), reverse=True)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_search_saves_a_bin_where_best_fit_does_not(seed):
+    """The genetic search goes on until it has saved the bin that the longest-first start takes too many."""
+    lengths = cut_bins(100, 2048, seed)
+    start = packing.Packing(lengths, 2048, []).insert(list(range(len(lengths))))
+    best = packing.evolve(lengths, 2048, [], 1)
+    assert len(start.bins) > len(best.bins) == -(-sum(lengths) // 2048) == 100
+    assert sorted(p for b in best.bins for p in b) == list(range(len(lengths)))
+    assert best.left == [2048 - sum(lengths[p] for p in b) for b in best.bins] and min(best.left) >= 0
+
+
+def test_bins_are_filled_by_the_longest_pieces_that_fit():
+    rng = random.Random(4)
+    for _ in range(200):
+        lengths = sorted((rng.randint(1, 30) for _ in range(rng.randint(0, 8))), reverse=True)
+        space = rng.randint(0, 60)
+        sums = {sum(x for k, x in enumerate(lengths) if s >> k & 1) for s in range(1 << len(lengths))}
+        found = packing.fullest(lengths, space)
+        assert found == sorted(set(found)) and sum(lengths[k] for k in found) == max(x for x in sums if x <= space)
+    assert packing.fullest([5, 3, 2, 2, 1], 5) == [0]
+
+
 PAGES = [
     (1, "http://a.example.com/x", "<p>same</p>"),
     (2, "http://b.example.com/y?q=1", "<p>same</p>"),
