@@ -21,9 +21,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from batchwarden.llm.common import attach, fresh, stage, table
+from batchwarden.llm.common import attach, stage, table
 from batchwarden.llm.components import components
-from batchwarden.llm.similar import first_ids
+from batchwarden.llm.similar import first_rows, row_key
 from batchwarden.operators.membership import possible
 
 BITS = 64
@@ -135,18 +135,23 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Candidates are texts whose SimHash fingerprints over five-word shingles share a key (see ``similar``);
     these fingerprints are longer than 64 bits, as at that similarity 64 lie too many bits apart for masks
-    to tell. Candidates are then compared exactly. Rows that repeat that doc_id are dropped as well; rows
-    without doc_id stay.
+    to tell. Candidates are then compared exactly. All rows take part, each with its own text: one without
+    doc_id stays if it is like none with one, and one of those that are like each other; of one doc_id all
+    texts stay that are not connected. Of several rows with that doc_id the smallest digest tells.
     """
-    known = docs.filter("doc_id IS NOT NULL")
-    ids = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    first = stage(first_ids(docs, width=5).withColumn("kept", F.lit(True)), "first")
-    # Only the rows of a doc_id that is dropped or repeated need to meet; bit maps tell most others.
-    listed = stage(ids.join(first, "doc_id", "left").filter("n > 1 OR kept IS NULL").select("doc_id", "kept"), "listed")
-    flag = fresh(docs, "_listed")
+    own = F.col("doc_id").cast("bigint")
+    first = stage(first_rows(docs, width=5).withColumn("kept", F.lit(True)), "first")
+    ids = docs.select(own.alias("doc_id")).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    some = first.filter("doc_id IS NOT NULL").select("doc_id", "kept").distinct()
+    # Only the rows of a doc_id that is dropped, repeated or missing need to meet; bit maps tell most others.
+    listed = stage(ids.join(some, "doc_id", "left").filter("n > 1 OR kept IS NULL").select("doc_id"), "listed")
     # ``possible`` has columns of its own, whose names may be taken: it sees the id and the whole row.
-    whole = known.select("doc_id", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    marked = possible(whole, listed, ["doc_id"], flag)
-    open_rows = marked.filter(flag).join(listed.filter("kept IS NULL"), "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    first = marked.filter(~F.col(flag)).select("row.*").unionByName(open_rows.select("row.*"))
-    return first.unionByName(docs.filter("doc_id IS NULL")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    whole = docs.select(own.alias("doc_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    marked = possible(whole, listed, ["doc_id"], "listed")
+    is_open = F.col("listed") | F.col("doc_id").isNull()
+    # Copies are one row before they meet.
+    keyed = marked.filter(is_open).select(row_key(F.col("doc_id"), F.col("row.text")).alias("t"), "row")
+    once = keyed.groupBy("t").agg(F.min_by("row", F.sha2(F.to_json("row"), 256)).alias("row"))
+    open_rows = once.join(first.select("t"), "t", "left_semi")
+    kept = marked.filter(~is_open).select("row.*").unionByName(open_rows.select("row.*"))
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
